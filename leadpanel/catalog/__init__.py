@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["permits"]
+MODULES = ["permits", "expressions"]
 
 
 def load() -> None:

@@ -58,42 +58,6 @@ PATTERNS = {
     "evaporative_cooler": r"\b(?:evaporative\s*cooler|swamp\s*cooler)\b",
 }
 
-# Words of which every text matching the pattern holds at least one. A text without any of
-# them skips the regex, which is most texts for most patterns.
-MUST_HOLD = {
-    "solar_pv": ["solar", "pv", "photo", "grid", "module"],
-    "solar_word": ["solar", "pv", "photovoltaic"],
-    "solar_thermal_suspected": ["solar", "thermal"],
-    "explicit_pv": ["pv", "photo"],
-    "power_rating": ["kw"],
-    "solar_equipment": [
-        "solaredge", "enphase", "sunpower", "meyer", "alpha", "cells", "jinko", "trina", "longi",
-        "solar", "hanwha", "silfab", "sma", "fronius", "generac",
-    ],
-    "solar_hardware": ["panel", "module"],
-    "battery": ["powerwall", "batt", "storage", "ess", "bms"],
-    "battery_not": ["batte"],
-    "ev_charger": ["charg", "tesla", "juicebox", "wallbox", "evse"],
-    "roof_new_or_replace": ["roof", "tear", "shingle", "underlayment"],
-    "electrical_service_upgrade": ["panel", "upgrade", "meter", "service", "200", "solar"],
-    "heat_pump": ["heat", "mini", "ductless"],
-    "heat_pump_not": ["heat", "hpwh"],
-    "ac": ["air", "a/c", "a.c.", "ac", "condenser"],
-    "furnace": ["furnace", "boiler"],
-    "water_heater": ["water", "tankless", "demand", "hw", "h/w"],
-    "water_heater_electric": ["water", "hpwh"],
-    "water_heater_gas": ["water"],
-    "water_heater_solar_thermal": ["solar"],
-    "windows_doors": ["window", "door", "siding"],
-    "insulation_airseal": ["insulation", "seal", "weatherization"],
-    "generator": ["generator", "genset"],
-    "addition_new_build": ["addition", "adding", "new", "adu", "accessory"],
-    "kitchen_bath_remodel": ["kitchen", "bath", "remodel", "renovation", "basement"],
-    "pool_hot_tub": ["pool", "hot", "spa"],
-    "pool_hot_tub_not": ["gas", "wir", "outlet", "demolition", "deconstruct", "fill"],
-    "evaporative_cooler": ["cooler"],
-}
-
 # ---- fixed values: valuation rules ----------------------------------------------
 MIN_VALUE = 3000
 STRONG_WORDS = [

@@ -134,7 +134,8 @@ def owner_people(owner: Column) -> Column:
     lone = ~has_comma & (F.size(plain) < 2)
     people = F.when(lone, F.array(main)).otherwise(F.concat(F.array(main), F.transform(more, other)))
     skip = blank(owner) | raw.rlike(NOT_PERSON) | (~has_comma & (F.size(plain) == 0))
-    return F.when(~skip, people).otherwise(F.filter(people, lambda p: F.lit(False)))
+    nobody = F.filter(F.array(_person(F.lit(""), F.lit(""), F.lit(""))), lambda p: p["last"] != "")
+    return F.when(~skip, people).otherwise(nobody)
 
 
 def subdivision_name(text: Column) -> Column:

@@ -8,19 +8,17 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadpanel.functions import permit_rules as R
+from leadpanel.functions.once import once
 
 
 def category_has(category: Column, keywords: list[str]) -> Column:
-    low = F.lower(F.coalesce(category, F.lit("")))
-    return reduce(or_, [low.contains(k) for k in keywords])
+    """Any keyword as literal text, whatever its case; the keywords hold no regex signs."""
+    return F.coalesce(category, F.lit("")).rlike("(?i)" + "|".join(keywords))
 
 
 def text_matches(text: Column, pattern: str, unless: str | None = None) -> Column:
-    def hit(name: str) -> Column:
-        possible = reduce(or_, [text.contains(w) for w in R.MUST_HOLD[name]])
-        return possible & text.rlike(R.PATTERNS[name])
-
-    return hit(pattern) & ~hit(unless) if unless else hit(pattern)
+    hit = text.rlike(R.PATTERNS[pattern])
+    return hit & ~text.rlike(R.PATTERNS[unless]) if unless else hit
 
 
 def flag_columns(category: Column, text: Column, blank: Column, value: Column | None) -> dict[str, Column]:
@@ -45,7 +43,7 @@ def flag_columns(category: Column, text: Column, blank: Column, value: Column |
         solar = solar | (efficient & blank & in_range)
     solar = solar & (~desc("solar_thermal_suspected") | desc("explicit_pv"))
     if value is not None:
-        strong = reduce(or_, [text.contains(w) for w in R.STRONG_WORDS])
+        strong = text.rlike("|".join(R.STRONG_WORDS))
         solar = solar & ~(F.coalesce(value < R.MIN_VALUE, F.lit(False)) & ~strong)
 
     heat_pump = desc("heat_pump", "heat_pump_not")
@@ -87,9 +85,9 @@ def compute_flags(
     })
     amount = F.col(value).cast("double") if value else None
     flags = flag_columns(F.col(category), F.col("_text"), F.col("_blank"), amount)
-    return staged.select(
-        *permits.columns, *[flags[f].cast("int").alias(f) for f in R.FLAGS]
-    )
+    flagged = staged.select(*permits.columns, *[flags[f].cast("int").alias(f) for f in R.FLAGS])
+    # Filters on the flags stay above this point instead of repeating the regexes.
+    return once(flagged, {f: F.col(f) for f in R.FLAGS}, keep=permits.columns)
 
 
 def permit_type() -> Column:
