@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["permits", "expressions"]
+MODULES = ["permits", "expressions", "spatial"]
 
 
 def load() -> None:

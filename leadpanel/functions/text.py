@@ -64,12 +64,12 @@ def owner_pair(owner: Column) -> Column:
     second = F.when(at > 0, F.trim(F.substring(text, at + 3, F.length(text))))
     one, two = tokens(first), tokens(second)
     owner_1 = _last_first(name_word(F.get(one, F.lit(0))), F.transform(_rest(one, 2), name_word))
-    last_word = F.btrim(F.element_at(two, -1), F.lit("."))
+    last_word = F.btrim(F.try_element_at(two, F.lit(-1)), F.lit("."))
     # One word, or a closing initial, means the second owner shares the first one's last name.
     own_last = (F.size(two) > 1) & (F.length(last_word) != 1)
     full = F.when(own_last, two).otherwise(F.concat(two, F.array(F.get(one, F.lit(0)))))
     owner_2 = _last_first(
-        name_word(F.element_at(full, -1)), F.transform(F.slice(full, F.lit(1), F.size(full) - 1), name_word)
+        name_word(F.try_element_at(full, F.lit(-1))), F.transform(F.slice(full, F.lit(1), F.size(full) - 1), name_word)
     )
     entity = text.rlike(ENTITY)
     return F.struct(
@@ -111,7 +111,7 @@ def owner_people(owner: Column) -> Column:
         words = tokens(text)
         cut = F.instr(text, ",")
         given = tokens(F.substring(text, cut + 1, F.length(text)))
-        first, final = F.get(words, F.lit(0)), F.element_at(words, -1)
+        first, final = F.get(words, F.lit(0)), F.try_element_at(words, F.lit(-1))
         inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
         shared = _person(first, F.lit(""), last)
         initial = (F.length(final) <= 2) | final.endswith(".")
@@ -142,7 +142,7 @@ def subdivision_name(text: Column) -> Column:
     """First three words without filing noise, capitalised; a closing "Of" is dropped."""
     words = F.slice(tokens(text), 1, 3)
     kept = F.transform(F.filter(words, lambda w: ~F.upper(w).isin(SUBDIVISION_NOISE)), capital)
-    kept = F.when(F.element_at(kept, -1) == "Of", F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+    kept = F.when(F.try_element_at(kept, F.lit(-1)) == "Of", F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
     return F.when(text.isNotNull(), F.array_join(kept, " "))
 
 
