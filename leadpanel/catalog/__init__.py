@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["permits", "expressions", "spatial"]
+MODULES = ["permits", "expressions", "spatial", "tables", "scoring"]
 
 
 def load() -> None:

@@ -38,6 +38,14 @@ def append_unseen(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return stored.unionByName(unseen_only(batch, stored, key), allowMissingColumns=True)
 
 
+def continue_series(feed: DataFrame, stored: DataFrame, series: str, period: str) -> DataFrame:
+    """Feed rows after each series' last stored period; a series not stored yet comes whole."""
+    last = stored.groupBy(series).agg(F.max(period).alias("_last"))
+    return feed.join(last, series, "left").where(
+        F.col("_last").isNull() | (F.col(period) > F.col("_last"))
+    ).drop("_last")
+
+
 def map_keys(df: DataFrame, lookup: DataFrame, key: str, target: str) -> DataFrame:
     """Translate a key; rows without a match are dropped. The last value per key wins, by value."""
     unique = lookup.groupBy(key).agg(F.max(target).alias(target))
