@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["permits", "expressions", "spatial", "tables", "scoring", "timeline", "serving", "streams"]
+MODULES = ["permits", "expressions", "spatial", "tables", "scoring", "timeline", "serving", "streams", "modelling"]
 
 
 def load() -> None:

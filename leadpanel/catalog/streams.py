@@ -51,4 +51,4 @@ def r6(t):
     path, checkpoint = scratch(t.spark, "first"), scratch(t.spark, "first-state")
     J.write_updates(first, ["user_id"], path, checkpoint)
     table = J.read_updates(t.spark, path, ["user_id"])
-    return table.select("user_id", F.unix_micros(F.to_utc_timestamp(c("first_at").cast("timestamp"), "UTC")).alias("first_at"))
+    return table.select("user_id", F.unix_micros(F.from_utc_timestamp(c("first_at").cast("timestamp"), F.current_timezone())).alias("first_at"))

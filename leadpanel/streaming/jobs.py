@@ -61,7 +61,8 @@ def permit_feed(stream: DataFrame, version: str, path: str, checkpoint: str) ->
 # ---- windowed counts -----------------------------------------------------------------
 def rolling_counts(stream: DataFrame, time: str, kind: str, days: int, slide_days: int, late_days: int) -> DataFrame:
     """Events per type in sliding windows; rows later than the watermark are dropped."""
-    at = stream.withColumn(time, c(time).cast("timestamp"))
+    # A time without zone is taken as UTC whatever the session's zone, so windows do not move with it.
+    at = stream.withColumn(time, F.from_utc_timestamp(c(time).cast("timestamp"), F.current_timezone()))
     return (
         at.withWatermark(time, f"{late_days} days")
         .groupBy(F.window(time, f"{days} days", f"{slide_days} days"), kind)
