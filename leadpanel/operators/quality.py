@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadpanel.functions import permit_rules as R
 from leadpanel.operators.permits import explode_types
 from leadpanel.operators.ranking import exact_medians
+from leadpanel.session import pin
 
 
 def category_coverage(permits: DataFrame, column: str = "permit_category", flag_above: int = 50) -> DataFrame:
@@ -32,7 +33,8 @@ def type_distribution(classified: DataFrame, baseline: DataFrame | None = None)
     """Permits per type, share of all permits, and change against a saved baseline (type, pct)."""
     # One pass: every permit counts once in `total` (null type) and once per type.
     types = F.transform(F.split("permit_type", ","), lambda t: F.trim(t))
-    per_type = (
+    # Pinned (a row per type): the two filters below would otherwise each classify every permit again.
+    per_type = pin(
         classified.select(F.explode(F.concat(types, F.array(F.lit(None).cast("string")))).alias("permit_type"))
         .groupBy("permit_type").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -95,7 +97,7 @@ def shared_texts(permits: DataFrame, min_chars: int = 30, min_homes: int = 2) ->
 
 def valuation_stats(classified: DataFrame, value: str = "estimated_value") -> DataFrame:
     """Exact median, mean, min, max and null share of the value per type."""
-    rows = explode_types(classified).select("permit_type", F.col(value).cast("double").alias("v"))
+    rows = pin(explode_types(classified).select("permit_type", F.col(value).cast("double").alias("v")))
     basic = rows.groupBy("permit_type").agg(
         F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"),
         F.max("v").alias("max"),
@@ -129,10 +131,10 @@ def reviewer_agreement(classified: DataFrame, reviews: DataFrame) -> DataFrame:
 def agreement_report(agreement: DataFrame) -> DataFrame:
     """Overall, per rule type, disagreement pairs, confident disagreements and missed texts in one table."""
     every = F.lit("*")
-    # Counted once by all dimensions; each section then sums the small cube.
-    cube = agreement.groupBy("permit_type", "ai_type", "ai_confidence", "agrees").agg(
+    # Counted and pinned once by all dimensions; each section then sums the small cube.
+    cube = pin(agreement.groupBy("permit_type", "ai_type", "ai_confidence", "agrees").agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ))
     n, agree = F.sum("n").alias("n"), F.sum(F.when(F.col("agrees"), F.col("n")).otherwise(0)).alias("n_agree")
     differs = ~F.col("agrees")
 
