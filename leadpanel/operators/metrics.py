@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadpanel.operators.ranking import add_position, add_running_sums, exact_quantiles, percentile_rank
 
@@ -51,8 +51,8 @@ def decile_lift(scored: DataFrame, groups: Sequence[str] = (), score: str = "sco
     decile = F.when(F.floor(n * (decile + 1) / 10) <= at, decile + 1).when(F.floor(n * decile / 10) > at, decile - 1).otherwise(decile)
     rows = rows.withColumn("decile", decile.cast("int") + 1)
     per = rows.groupBy(*groups, "decile").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("captured"))
-    totals = per.groupBy(*groups).agg(F.sum("n").alias("_n"), F.sum("captured").alias("_p"))
-    joined = per.join(totals, list(groups)) if groups else per.crossJoin(F.broadcast(totals))
+    whole = Window.partitionBy(*groups)  # ten rows per group
+    joined = per.withColumns({"_n": F.sum("n").over(whole), "_p": F.sum("captured").over(whole)})
     rate = c("captured") / c("n")
     return joined.where(c("_p") > 0).select(
         *groups, "decile", (rate / (c("_p") / c("_n"))).alias("lift"), rate.alias("adoption_rate"), "n", "captured",

@@ -126,7 +126,10 @@ def percentile_rank(
     ranks = tie_ranks(df, score, groups).select(
         *groups, score, (F.col("avg_rank") / F.col("n_ranked")).alias(out)
     )
-    return df.join(ranks, [*groups, score], "left")
+    if not groups:
+        return df.join(ranks, score, "left")
+    on = _same("l", "r", groups) & (F.col(f"l.{score}") == F.col(f"r.{score}"))
+    return df.alias("l").join(ranks.alias("r"), on, "left").select("l.*", f"r.{out}")
 
 
 def exact_quantiles(
