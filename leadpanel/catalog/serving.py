@@ -83,7 +83,7 @@ def q5(t):
 
 @query("q6_following_board", oracle("follows homes notes", f"""
 SELECT f.user_id, f.home_index, coalesce({_expected('h.original_index', OWNER_1)}, '—') AS owner,
-  CASE WHEN h.original_index % 3 = 0 THEN 'Sam • 555-' || f.home_index ELSE 'No contact information for home' END AS contacts,
+  CASE WHEN h.usedesc = 'SINGLE FAMILY' THEN 'Sam • 555-' || f.home_index ELSE 'No contact information for home' END AS contacts,
   CASE WHEN h.original_index % 4 = 1 THEN 'Call back' ELSE 'No open action items' END AS open_items,
   md5(CASE WHEN trim(n.body) <> '' THEN trim(n.body) ELSE 'No comments yet' END) AS comment
 FROM (SELECT DISTINCT user_id, home_index FROM follows) f JOIN homes h ON h.strap = f.home_index
@@ -98,7 +98,7 @@ def q6(t):
         c("strap").alias("index"), "address", "city", owner_pair(c("owner"))["owner_1"].alias("owner_1"),
         F.lit(None).cast("string").alias("owner_2"))
     org = tags(t).select(c("strap").alias("home_index"), "tags", "do_not_contact")
-    contacts = t.homes.where(k % 3 == 0).select(
+    contacts = t.homes.where(c("usedesc") == "SINGLE FAMILY").select(
         c("strap").alias("home_index"), F.lit(" Sam").alias("preferred_name"), F.concat(F.lit("555-"), "strap").alias("phone_number"),
         F.lit("").alias("email"))
     items = t.homes.select(

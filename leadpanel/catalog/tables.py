@@ -107,10 +107,10 @@ def io8(t):
 
 @query("io9_upsert_columns", oracle("homes home_scores", """
 SELECT coalesce(o.strap, n.home_index) AS strap, coalesce(o.image_name, n.image_name) AS image_name, coalesce(n.flag, o.flag) AS flag
-FROM (SELECT strap, 'old' || strap AS image_name, solar_panels AS flag FROM homes WHERE original_index % 3 <> 1) o
+FROM (SELECT strap, 'old' || strap AS image_name, solar_panels AS flag FROM homes WHERE designcodedscr <> 'RANCH') o
 FULL JOIN (SELECT home_index, 'new' || home_index AS image_name, CASE WHEN model_score > 50 THEN 'Yes' END AS flag FROM home_scores) n ON o.strap = n.home_index"""))
 def io9(t):
-    old = t.homes.where(c("original_index") % 3 != 1).select(
+    old = t.homes.where(c("designcodedscr") != "RANCH").select(
         "strap", F.concat(F.lit("old"), "strap").alias("image_name"), c("solar_panels").alias("flag"))
     new = t.home_scores.select(
         c("home_index").alias("strap"), F.concat(F.lit("new"), "home_index").alias("image_name"),
@@ -120,12 +120,11 @@ def io9(t):
 
 @query("io10_partial_upsert", oracle("home_scores", """
 SELECT home_index, coalesce(n.model_score, o.model_score) AS model_score, o.roof_score AS roof_score
-FROM (SELECT home_index, model_score, roof_score FROM home_scores WHERE CAST(home_index AS BIGINT) % 4 <> 0) o
-FULL JOIN (SELECT home_index, model_score + 1 AS model_score FROM home_scores WHERE CAST(home_index AS BIGINT) % 2 = 0) n USING (home_index)"""))
+FROM (SELECT home_index, model_score, roof_score FROM home_scores WHERE roof_score >= 30) o
+FULL JOIN (SELECT home_index, model_score + 1 AS model_score FROM home_scores WHERE model_score >= 40) n USING (home_index)"""))
 def io10(t):
-    k = c("home_index").cast("bigint")
-    old = t.home_scores.where(k % 4 != 0)
-    new = t.home_scores.where(k % 2 == 0).select("home_index", (c("model_score") + 1).alias("model_score"))
+    old = t.home_scores.where(c("roof_score") >= 30)
+    new = t.home_scores.where(c("model_score") >= 40).select("home_index", (c("model_score") + 1).alias("model_score"))
     return tidy(IO.upsert_columns(old, new, ["home_index"], keep_old=[]))
 
 
@@ -189,12 +188,12 @@ def f8(t):
 
 
 @query("f9_optional_predicates", oracle("homes", """
-SELECT strap FROM homes WHERE city = 'NATION_3' AND lat >= 40.01 AND lon <= -105.25 AND address ILIKE '%1 elm%'
+SELECT strap FROM homes WHERE city = 'NATION_3' AND lat >= 40.01 AND lon <= -105.25 AND address ILIKE '%elm%'
   AND coalesce(lower(trim(solar_panels)) = 'yes', false) = false"""))
 def f9(t):
     chosen = L.given(
         county=(None, lambda v: c("county") == v), city=("NATION_3", lambda v: c("city") == v),
-        search=("1 elm", lambda v: c("address").ilike(f"%{v}%")),
+        search=("elm", lambda v: c("address").ilike(f"%{v}%")),
     )
     not_solar = ~F.coalesce(F.lower(F.trim("solar_panels")) == "yes", F.lit(False))
     return t.homes.where(chosen & L.box("lat", "lon", south=40.01, east=-105.25) & not_solar).select("strap")
@@ -294,10 +293,10 @@ def j3(t):
 
 @query("j4_bridge_join", oracle("homes home_scores", """
 SELECT h.strap, round(h.lat, 6) AS lat, s.model_score, r.roof_score FROM homes h JOIN home_scores s ON h.strap = s.home_index
-LEFT JOIN (SELECT strap, lat, lon, CAST(original_index % 90 AS BIGINT) AS roof_score FROM homes WHERE original_index % 2 = 0) r
+LEFT JOIN (SELECT strap, lat, lon, CAST(original_index % 90 AS BIGINT) AS roof_score FROM homes WHERE roof_coverdscr = 'Asphalt') r
   ON r.strap = h.strap AND r.lat = h.lat AND r.lon = h.lon"""))
 def j4(t):
-    roofs = t.homes.where(c("original_index") % 2 == 0).select("strap", "lat", "lon", (c("original_index") % 90).alias("roof_score"))
+    roofs = t.homes.where(c("roof_coverdscr") == "Asphalt").select("strap", "lat", "lon", (c("original_index") % 90).alias("roof_score"))
     bridged = t.homes.select("strap", "lat", "lon").join(t.home_scores.select(c("home_index").alias("strap"), "model_score"), "strap")
     return tidy(bridged.join(roofs, ["strap", "lat", "lon"], "left").drop("lon"))
 
@@ -394,12 +393,13 @@ def j14(t):
 
 
 @query("j15_label_from_lists", oracle("homes", """
-SELECT strap, CASE WHEN label IS NULL OR trim(label) = '' THEN CASE WHEN original_index % 4 = 0 THEN 'No' WHEN original_index % 2 = 0 THEN 'Yes' ELSE label END ELSE label END AS label
+SELECT strap, CASE WHEN label IS NULL OR trim(label) = '' THEN CASE WHEN usedesc = 'SINGLE FAMILY' THEN 'No' WHEN designcodedscr = 'RANCH' THEN 'Yes' ELSE label END ELSE label END AS label
 FROM (SELECT *, CASE original_index % 3 WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE 'Maybe' END AS label FROM homes)"""))
 def j15(t):
     k = c("original_index")
     labelled = t.homes.select("strap", F.when(k % 3 == 0, " ").when(k % 3 == 2, "Maybe").alias("label"))
-    return J.label_from_lists(labelled, t.homes.where(k % 2 == 0), t.homes.where(k % 4 == 0), "strap", "label")
+    return J.label_from_lists(
+        labelled, t.homes.where(c("designcodedscr") == "RANCH"), t.homes.where(c("usedesc") == "SINGLE FAMILY"), "strap", "label")
 
 
 @query("j16_suffix_join", """
@@ -450,11 +450,11 @@ def t9(t):
 
 
 @query("t10_ranked_images", oracle("", """
-SELECT page_id % 1000 AS home_id, arg_min(url, (folder <> 'yes', url)) AS name, round(coalesce(max(s.score), 0), 6) AS score
+SELECT CAST(floor(page_id / 2) AS BIGINT) AS home_id, arg_min(url, (folder <> 'yes', url)) AS name, round(coalesce(max(s.score), 0), 6) AS score
 FROM (SELECT *, CASE page_id % 3 WHEN 0 THEN 'yes' ELSE 'no' END AS folder FROM pages) p
-LEFT JOIN (SELECT doc_id, (n_chars % 997) / 997.0e0 AS score FROM documents) s ON s.doc_id = page_id % 1000 GROUP BY 1""").replace("WITH RECURSIVE ", ""))
+LEFT JOIN (SELECT doc_id, (n_chars % 997) / 997.0e0 AS score FROM documents) s ON s.doc_id = floor(page_id / 2) GROUP BY 1""").replace("WITH RECURSIVE ", ""))
 def t10(t):
     images = t.pages.select(
-        (c("page_id") % 1000).alias("home_id"), c("url").alias("name"), F.when(c("page_id") % 3 == 0, "yes").otherwise("no").alias("folder"))
+        F.floor(c("page_id") / 2).cast("bigint").alias("home_id"), c("url").alias("name"), F.when(c("page_id") % 3 == 0, "yes").otherwise("no").alias("folder"))
     scores = t.documents.select(c("doc_id").alias("home_id"), ((c("n_chars") % 997) / 997.0).alias("score"))
     return tidy(K.rank_images(images, scores).drop("folder"))

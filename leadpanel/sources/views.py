@@ -162,7 +162,7 @@ FROM {{orders}}
 # First year in which a home adopted; homes absent here never did.
 ADOPTIONS = """
 SELECT CAST(o_custkey AS STRING) AS strap, CAST(min(year(o_orderdate)) AS BIGINT) AS first_year
-FROM {orders} WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 0 GROUP BY o_custkey
+FROM {orders} WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey
 """
 
 # A dated rate series with "." for a missing reading.
@@ -193,11 +193,11 @@ HOME_SCORES = f"""
 SELECT CAST({K} AS STRING) AS home_index,
   CASE WHEN {K} % 5 = 0 THEN NULL ELSE CAST(1 + ({K} * 17) % 100 AS BIGINT) END AS model_score,
   CASE WHEN {K} % 7 = 3 THEN NULL ELSE CAST(10 + ({K} * 23) % 91 AS BIGINT) END AS roof_score
-FROM {{customer}} WHERE {K} % 11 <> 5
+FROM {{customer}} WHERE c_acctbal >= 0
 """
 
 FOLLOWS = """
-SELECT DISTINCT user_id, CAST((event_id * 7) % 1000 AS STRING) AS home_index, event_type AS org
+SELECT DISTINCT user_id, CAST(CAST(floor(event_id / 7) AS BIGINT) AS STRING) AS home_index, event_type AS org
 FROM {events}
 """
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -76,14 +75,6 @@ def first_event(stream: DataFrame, key: str, condition: Column, time: str) -> Da
     return stream.where(condition).groupBy(key).agg(F.min(time).alias("first_at"))
 
 
-def collect_stream(stream: DataFrame, mode: str, checkpoint: str) -> DataFrame:
-    """Drive a streaming aggregate over the available input into a table named for this run."""
-    name = f"stream_{uuid.uuid4().hex}"
-    run_available(
-        stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint))
-    return stream.sparkSession.table(name)
-
-
 def write_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
     """``update`` mode: each batch's changed keys are written as files, any number of them."""
     def write(batch: DataFrame, batch_id: int) -> None:

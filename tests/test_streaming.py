@@ -36,7 +36,9 @@ def test_rolling_counts_equal_batch(spark, tmp_path):
     events.repartition(4).write.parquet(f"{tmp_path}/ev")
     stream = J.file_stream(spark, f"{tmp_path}/ev", events.schema)
     counts = J.rolling_counts(stream, "ts", "kind", 7, 1, 30)
-    got = J.collect_stream(counts, "complete", f"{tmp_path}/st")
+    J.run_available(counts.writeStream.outputMode("complete").format("memory").queryName("rolling").option(
+        "checkpointLocation", f"{tmp_path}/st"))
+    got = spark.table("rolling")
     want = J.rolling_counts(spark.read.parquet(f"{tmp_path}/ev"), "ts", "kind", 7, 1, 30)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
