@@ -408,7 +408,7 @@ def x24(t):
     k, n = c("doc_id"), c("doc_id").cast("string")
     name = (
         F.when(k % 5 == 0, F.concat(n, F.lit("_original_index.png")))
-        .when(k % 5 == 1, F.concat(F.lit("BOULDER_CO_"), n, F.lit(".png")))
+        .when(k % 5 == 1, F.concat(F.lit("COUNTY_CO_"), n, F.lit(".png")))
         .when(k % 5 == 2, F.concat(F.lit("img"), n, F.lit("x.jpeg")))
         .when(k % 5 == 3, F.lit("a12b7_c.png")).otherwise(F.lit("none.png"))
     )

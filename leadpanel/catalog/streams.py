@@ -26,7 +26,7 @@ QUALIFY row_number() OVER (PARTITION BY strap, permit_num, permit_type ORDER BY
     flagged=FLAGGED, typed=TYPED, exploded=EXPLODED))
 def r4(t):
     path, checkpoint = scratch(t.spark, "feed"), scratch(t.spark, "feed-state")
-    J.permit_feed(permit_stream(t), "issue_date", path, checkpoint)
+    J.permit_feed(permit_stream(t), "issue_date", path, checkpoint, t.spark.sparkContext.defaultParallelism)
     table = J.read_upserts(t.spark, path, ["strap", "permit_num", "permit_type"], "issue_date")
     return tidy(table.select("strap", "permit_num", "permit_type", "estimated_value"))
 

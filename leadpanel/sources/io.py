@@ -106,11 +106,16 @@ def upsert_columns(existing: DataFrame, batch: DataFrame, keys: list[str], keep_
 
 
 def validation_report(spark: SparkSession, tables: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
-    """One row per missing table or column; reads schemas only."""
+    """One row per missing table, missing column or column without any value (one pass per table)."""
     errors = []
     for name, columns in required.items():
         if name not in tables:
             errors.append((name, "table not found"))
             continue
-        errors += [(name, f"missing column {c}") for c in columns if c not in tables[name].columns]
+        df = tables[name]
+        known = [c for c in columns if c in df.columns]
+        errors += [(name, f"missing column {c}") for c in columns if c not in known]
+        if known:
+            filled = df.agg(*[F.count(c).alias(c) for c in known]).first()  # one row of counts
+            errors += [(name, f"no value in column {c}") for c in known if filled[c] == 0]
     return spark.createDataFrame(errors, "check string, error string")

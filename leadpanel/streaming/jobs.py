@@ -49,8 +49,12 @@ def read_upserts(spark: SparkSession, path: str, keys: list[str], version: str)
     return latest_per_key(log, keys, [c("_batch"), c(version)]).drop("_batch")
 
 
-def permit_feed(stream: DataFrame, version: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Classify arriving permits, expand their types and upsert by (home, number, type)."""
+def permit_feed(stream: DataFrame, version: str, path: str, checkpoint: str, tasks: int | None = None) -> StreamingQuery:
+    """Classify arriving permits, expand their types and upsert by (home, number, type).
+
+    ``tasks`` spreads the text work when batches arrive as a few large files.
+    """
+    stream = stream.repartition(tasks) if tasks else stream
     rows = explode_types(classify(stream)).select(
         "strap", "permit_num", "permit_type", "description", "estimated_value", version)
     sink = upsert_log(["strap", "permit_num", "permit_type"], version, path)
