@@ -50,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if current is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadpanel-checkpoint-"))
     return sc.getCheckpointDir()

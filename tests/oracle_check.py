@@ -9,7 +9,7 @@ import duckdb
 
 from leadpanel.sources.views import table_names
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
