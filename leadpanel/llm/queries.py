@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadpanel.llm import chat, exact, packing, sentencepiece_codec, warc
+from leadpanel.llm import chat, exact, lines, packing, sentencepiece_codec, warc
 from leadpanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_line_templates", lines.ORACLE)
+def op1(spark, folder):
+    return lines.deduplicate(table(spark, folder, "documents"))
+
+
 @query("op2_warc_revisits", warc.ORACLE)
 def op2(spark, folder):
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4()}"
