@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadpanel.llm import chat, exact, lines, packing, sentencepiece_codec, warc
+from leadpanel.llm import chat, exact, lines, minhash, packing, sentencepiece_codec, warc
 from leadpanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op7(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer, with_ids=False)
 
 
+@query("op8_fast_similarity_sketch", minhash.ORACLE)
+def op8(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
+
+
 @query("op10_chat_format", chat.ORACLE)
 def op10(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
