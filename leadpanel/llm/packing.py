@@ -12,6 +12,7 @@ control tokens are ordinary text; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -58,6 +59,7 @@ def _encoder(tokenizer_file: str) -> UnitEncoder:
     """Units are encoded many at a time: the vocabulary's control token parts them and is an id of its own."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     plain, marked = Tokenizer.from_file(tokenizer_file), Tokenizer.from_file(tokenizer_file)
     plain.encode_special_tokens = True
     controls = {added.content: at for at, added in marked.get_added_tokens_decoder().items() if added.special}
@@ -67,14 +69,15 @@ def _encoder(tokenizer_file: str) -> UnitEncoder:
         return flatten([plain.encode(unit, add_special_tokens=False).ids for unit in units])
 
     def encode(units: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
+        units = [unit[0] if isinstance(unit, tuple) else f" {unit}" for unit in units]
+        parts = [units[low:low + _JOINED] for low in range(0, len(units), _JOINED)]
+        joined = [mark.join(part) for part in parts]
         flat, sizes = [], []
-        for low in range(0, len(units), _JOINED):
-            part = [unit[0] if isinstance(unit, tuple) else f" {unit}" for unit in units[low:low + _JOINED]]
-            text = mark.join(part)
+        for part, text, found in zip(parts, joined, marked.encode_batch_fast(joined, add_special_tokens=False)):
             if any(text.count(control) != (len(part) - 1) * (control == mark) for control in controls):
                 ids, counts = alone(part)  # a unit that holds a control string itself
             else:
-                ids = np.array(marked.encode(text, add_special_tokens=False).ids, np.uint32)
+                ids = np.array(found.ids, np.uint32)
                 ends = np.append(np.flatnonzero(ids == mark_id), len(ids))
                 counts = np.diff(ends, prepend=-1) - 1
                 ids = ids[ids != mark_id]

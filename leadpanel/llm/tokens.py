@@ -13,7 +13,7 @@ from itertools import chain
 import numpy as np
 
 #: Distinct units a worker remembers before it starts anew; bounds its memory, not the result.
-UNITS_KEPT = 1_000_000
+UNITS_KEPT = 1_400_000
 #: Characters that are split into units at a time.
 CHUNK_CHARS = 2_000_000
 
