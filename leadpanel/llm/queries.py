@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadpanel.llm import chat, exact, lines, minhash, packing, sentencepiece_codec, vectors, warc
+from leadpanel.llm import chat, exact, lines, minhash, packing, quality, sentencepiece_codec, vectors, warc
 from leadpanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op3(spark, folder):
     return sentencepiece_codec.encode_documents(table(spark, folder, "documents"), model, with_ids=False)
 
 
+@query("op4_neighbour_quality")
+def op4(spark, folder):
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op5_sorted_projections", vectors.ORACLE)
 def op5(spark, folder):
     return vectors.near_vectors(table(spark, folder, "embeddings"), threshold=0.93)
