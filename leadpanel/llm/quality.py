@@ -1,7 +1,7 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
 A text's terms are its words (hashed) and the trigrams of its bytes' classes,
-with one more term for a word that repeats the one before it. Document
+with graded terms for the share of words that repeat the one before. Document
 frequencies cover all documents. A sample of labelled training rows, bounded by
 ``LABELLED`` per label, gives the latent directions; its vectors are broadcast.
 Every document is projected, its cosine with each labelled vector comes from an
@@ -31,9 +31,9 @@ LABELLED = 1024
 DIRECTIONS, NEIGHBOURS, SHARPNESS = 64, 15, 4
 #: A document is predicted to be good from this score on.
 THRESHOLD = 0.3
-#: Words fall into 2**14 bins, class trigrams into 2**15; one more term marks repeated words.
-WORD_BINS, CLASS_BINS = 1 << 14, 1 << 15
-TERMS = WORD_BINS + CLASS_BINS + 1
+#: Words fall into 2**14 bins, class trigrams into 2**15; the last terms grade how many words repeat the one before.
+WORD_BINS, CLASS_BINS, REPEAT_BINS = 1 << 14, 1 << 15, 16
+TERMS = WORD_BINS + CLASS_BINS + REPEAT_BINS
 
 _BLOCK = 256
 _WORDS_KEPT = 1_000_000
@@ -75,12 +75,10 @@ def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     shape = np.bincount(trigrams, minlength=CLASS_BINS)
     used = np.flatnonzero(shape)
     word, count = np.unique(bins, return_counts=True)
-    repeats = int((bins[1:] == bins[:-1]).sum()) if len(bins) > 1 else 0
-    found, counts = [word, used + WORD_BINS], [count, shape[used]]
-    if repeats:
-        found.append(np.array([TERMS - 1]))
-        counts.append(np.array([repeats]))
-    return np.concatenate(found), np.concatenate(counts)
+    share = (bins[1:] == bins[:-1]).mean() if len(bins) > 1 else 0.0
+    grades = np.arange(int(np.ceil(share * REPEAT_BINS)))
+    found = np.concatenate([word, used + WORD_BINS, grades + (WORD_BINS + CLASS_BINS)])
+    return found, np.concatenate([count, shape[used], np.full(len(grades), len(bins))])
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
