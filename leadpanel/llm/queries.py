@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadpanel.llm import chat, exact, lines, minhash, packing, quality, sentencepiece_codec, vectors, warc
+from leadpanel.llm import chat, exact, licenses, lines, minhash, packing, quality, sentencepiece_codec, vectors, warc
 from leadpanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op8(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
 
 
+@query("op9_license_scan")
+def op9(spark, folder):
+    return licenses.scan(licenses.with_paths(table(spark, folder, "documents")))
+
+
 @query("op10_chat_format", chat.ORACLE)
 def op10(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
