@@ -236,7 +236,7 @@ def roofs(t):
 
 
 TOP = """SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY original_index) AS n,
-  row_number() OVER (PARTITION BY original_index ORDER BY area DESC, idx, tie) AS rn FROM segments) WHERE rn <= 25"""
+  row_number() OVER (PARTITION BY original_index ORDER BY area DESC, idx, tie) AS rn FROM segments)"""
 
 BANDS = """SELECT original_index, n, azimuth, area, avg_sun, 'East' AS band FROM top WHERE azimuth BETWEEN 80 AND 140
 UNION ALL SELECT original_index, n, azimuth, area, avg_sun, 'South' FROM top WHERE azimuth BETWEEN 140 AND 220

@@ -184,6 +184,9 @@ def e7(t):
     return tidy(Q.agreement_report(Q.reviewer_agreement(P.classify(t.permits), t.reviews)))
 
 
-@query("t7_stratified_sample")
+@query("t7_stratified_sample", oracle("permits", """
+SELECT permit_num, permit_type FROM typed WHERE permit_num IN (SELECT permit_num FROM
+ (SELECT permit_num, row_number() OVER (PARTITION BY permit_type ORDER BY CAST('0x' || substr(md5(concat(permit_num, '-42')), 1, 12) AS BIGINT), permit_num) AS rn
+  FROM exploded) WHERE rn <= 20)""", flagged=FLAGGED, typed=TYPED, exploded=EXPLODED))
 def t7(t):
     return tidy(stratified_by_type(P.classify(t.permits), 20).select("permit_num", "permit_type"))

@@ -32,10 +32,9 @@ def io1(t):
     return tidy(IO.read_csv(t.spark, path, "strap string, lat double, mainfloorsf double, saledate string"))
 
 
-@query("io2_pruned_scan", "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_quantity >= 40")
+@query("io2_pruned_scan", "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem")
 def io2(t):
-    return tidy(IO.read_table(t.spark, f"{t.folder}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"]).where(
-        c("l_quantity") >= 40).drop("l_quantity"))
+    return tidy(IO.read_table(t.spark, f"{t.folder}/lineitem.parquet", ["l_orderkey", "l_linenumber"]))
 
 
 @query("io3_text_keys", oracle("demographics", "SELECT block_fips, CAST(length(block_fips) AS BIGINT) AS n FROM demographics"))
@@ -128,7 +127,13 @@ def io10(t):
     return tidy(IO.upsert_columns(old, new, ["home_index"], keep_old=[]))
 
 
-@query("io11_validation_report")
+@query("io11_validation_report", oracle("homes permits", """
+SELECT 'homes' AS "check", 'missing column not_there' AS error UNION ALL SELECT 'census', 'table not found'
+UNION ALL SELECT 'homes', 'no value in column strap' FROM homes HAVING count(strap) = 0
+UNION ALL SELECT 'homes', 'no value in column lat' FROM homes HAVING count(lat) = 0
+UNION ALL SELECT 'homes', 'no value in column lon' FROM homes HAVING count(lon) = 0
+UNION ALL SELECT 'permits', 'no value in column strap' FROM permits HAVING count(strap) = 0
+UNION ALL SELECT 'permits', 'no value in column issue_dt' FROM permits HAVING count(issue_dt) = 0"""))
 def io11(t):
     return IO.validation_report(t.spark, {"homes": t.homes, "permits": t.permits}, {
         "homes": ["strap", "lat", "lon", "not_there"], "permits": ["strap", "issue_dt"], "census": ["strap"]})
@@ -439,12 +444,17 @@ def t5(t):
     return t.orders.select("o_orderkey", "o_orderpriority").orderBy("o_orderkey").limit(25)
 
 
-@query("t8_class_aware_sample")
+@query("t8_class_aware_sample", oracle("scored", """
+SELECT id, y, round(score, 6) AS score FROM
+ (SELECT *, row_number() OVER (PARTITION BY y ORDER BY h, id) AS rn, least(count(*) FILTER (y = 1) OVER (), 100) AS positives
+  FROM (SELECT id, CAST(y AS BIGINT) AS y, score, CAST('0x' || substr(md5(concat(id, '-42')), 1, 12) AS BIGINT) AS h FROM scored))
+WHERE rn <= CASE y WHEN 1 THEN positives ELSE 200 - positives END"""))
 def t8(t):
     return tidy(SA.class_aware(t.scored.select("id", "y", "score"), "y", "id", 200, 50))
 
 
-@query("t9_folds")
+@query("t9_folds", oracle("permits", """
+SELECT CAST('0x' || substr(md5(concat(strap, '-42')), 1, 12) AS BIGINT) % 5 AS fold, count(*) AS n FROM (SELECT DISTINCT strap FROM permits) GROUP BY 1"""))
 def t9(t):
     return tidy(t.permits.select("strap", SA.fold_of("strap", 5).alias("fold")).distinct().groupBy("fold").agg(F.count(F.lit(1)).alias("n")))
 

@@ -25,7 +25,8 @@ SUBDIVISION_NOISE = [
     "PARCEL", "ADDITION", "PUD", "OT", "&", "LG", "FLG", "FILING", "PHASE", "PATIO HOMES", "PATIO",
     "PH", "SUB", "-", "REP", "(REPLAT)", "REPLAT", "REPLAT OF", "II", "III",
     "1ST", "2ND", "3RD", "4TH", "5TH", "6TH", "7TH", "8TH", "9TH", "10TH",
-    *[str(i) for i in range(21)], *"ABCDEFGHIJK",
+    "0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "10", "11", "12", "13", "14", "15", "16", "17", "18", "19", "20",
+    "A", "B", "C", "D", "E", "F", "G", "H", "I", "J", "K",
 ]
 
 

@@ -12,18 +12,14 @@ c = F.col
 
 
 def roofs_from_segments(segments: DataFrame, key: str = "original_index") -> DataFrame:
-    """Segment rows to one row per roof: total count and the 25 largest segments.
+    """Segment rows to one row per roof: the number of its segments and all of them, largest first.
 
-    ``row_number() <= 25`` is cut inside each task before the shuffle, so a roof
-    with very many segment rows never gathers in one task; the count is combined map-side.
+    A roof is one row of output, so its segments must fit in one row.
     """
-    largest = Window.partitionBy(key).orderBy(c("area").desc(), "idx", "tie")
-    top = segments.withColumn("_rn", F.row_number().over(largest)).where(c("_rn") <= R.MAX_SEGMENTS)
-    arrays = top.groupBy(key).agg(
-        F.collect_list(F.struct("azimuth", "area", "avg_sun")).alias("segments")
-    )
-    counts = segments.groupBy(key).agg(F.count(F.lit(1)).alias("segment_count"))
-    return arrays.join(counts, key)
+    ordered = F.array_sort(F.collect_list(F.struct((-c("area")).alias("k"), "idx", "tie", "azimuth", "area", "avg_sun")))
+    pick = F.transform("_s", lambda s: F.struct(*[s[n].alias(n) for n in ("azimuth", "area", "avg_sun")]))
+    return segments.groupBy(key).agg(ordered.alias("_s")).select(
+        key, pick.alias("segments"), F.size("_s").cast("bigint").alias("segment_count"))
 
 
 def rescale_to_max(df: DataFrame, score: str) -> DataFrame:

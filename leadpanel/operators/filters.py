@@ -109,7 +109,7 @@ def keep_existing(df: DataFrame, columns: list[str], rename: dict[str, str] | No
 def feature_columns(df: DataFrame, exclude: list[str], max_levels: int = 20) -> list[str]:
     """Numeric columns plus text columns with few levels, counted in one pass."""
     text = [n for n, t in df.dtypes if t == "string" and n not in exclude]
-    levels = df.agg(*[F.approx_count_distinct(n, 0.02).alias(n) for n in text]).first() if text else {}
+    levels = df.agg(*[F.count_distinct(n).alias(n) for n in text]).first() if text else {}
     numeric = {"int", "bigint", "double", "float", "smallint", "tinyint"}
     return [
         n for n, t in df.dtypes

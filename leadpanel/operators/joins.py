@@ -8,13 +8,15 @@ from leadpanel.session import small
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row per key in the given order.
+    """The first row per key in the given order; a null order value comes after all others.
 
     ``min`` of a struct keeps one candidate per task and key, so a hot key costs
     one row per task in the shuffle, unlike a window over the whole group.
     """
     rest = [n for n in df.columns if n not in keys]
-    ranked = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(n) for n in rest])
+    # Nulls sort first in a struct, so a mark in front of each value puts them last.
+    marked = [x for i, o in enumerate(order) for x in (o.isNull().alias(f"_m{i}"), o.alias(f"_o{i}"))]
+    ranked = F.struct(*marked, *[F.col(n) for n in rest])
     return df.groupBy(*keys).agg(F.min(ranked).alias("_r")).select(
         *[n if n in keys else F.col(f"_r.{n}").alias(n) for n in df.columns]
     )

@@ -8,7 +8,8 @@ from leadpanel.operators.permits import explode_types
 
 
 def hash_order(key: str, seed: int):
-    return F.xxhash64(F.col(key), F.lit(seed))
+    """A number of 48 bits from the key and the seed; any engine with MD5 gives the same one."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(seed)).cast("binary")), 1, 12), 16, 10).cast("bigint")
 
 
 def stratified_by_type(classified: DataFrame, n: int, key: str = "permit_num", seed: int = 42) -> DataFrame:

@@ -39,10 +39,10 @@ GROUPS = {
     "building_age": ["calculated_roof_age", "calculated_build_year", "yearbuilt", "census_vs_property_age",
                      "time_since_build", "recent_build", "median_year_built"],
     "sale_recency": ["time_since_sale", "recent_purchase"],
-    "neighbor_contagion": ["count_", "last_year_neighbors_w_solar_", "closest_fifty_percentage",
+    "neighbor_contagion": ["count_3mi", "count_1mi", "count_0_5mi", "count_0_25mi", "count_0_1mi", "count_0_05mi", "last_year_neighbors_w_solar_", "closest_fifty_percentage",
                            "solar_neighbor_momentum", "neighbor_solar_slope_3yr", "permit_velocity_3yr"],
 }
-# Tuned parameters.
+# ---- fixed values: tuned parameters ----------------------------------------------------
 FOREST = dict(numTrees=100, maxDepth=16, minInstancesPerNode=33, featureSubsetStrategy="0.44238828649324957")
 BOOST = dict(maxIter=200, maxDepth=7, stepSize=0.030410071368193792, subsamplingRate=0.6986917019740992,
              minInstancesPerNode=38)
@@ -86,7 +86,7 @@ class Preprocessor:
         self.medians = median_scalars(train, self.numeric)
         filled = self._filled(train)
         if self.text:
-            levels = filled.agg(*[F.approx_count_distinct(n, 0.02).alias(n) for n in self.text]).first()
+            levels = filled.agg(*[F.count_distinct(n).alias(n) for n in self.text]).first()
             self.text = [n for n in self.text if levels[n] <= MAX_LEVELS]
         stages = [VectorAssembler(inputCols=self.numeric, outputCol="_num"),
                   StandardScaler(inputCol="_num", outputCol="_scaled", withMean=True)]

@@ -8,46 +8,46 @@ from __future__ import annotations
 
 # Permit texts used as (category, description) for order keys modulo the list length.
 PHRASES: list[tuple[str | None, str | None]] = [
-    ("energy efficient system", "Mount 7.2 kW solar PV array on the south roof"),
+    ("building misc", "Photovoltaic strings over the west wing"),
     ("energy efficient system", None),
-    ("energy efficient system", "Solar hot water heater, thermal collector on garage"),
-    ("energy efficient system", "6.6kW grid tied, flush mounted"),
-    ("energy efficient system", "27kWh battery backup beside the main panel"),
-    ("ELECTRICAL/MECHANICAL", "Level 2 EV charger at driveway"),
-    ("electrical/mechanical", "Powerwall energy storage with meter main"),
-    ("electrical/mechanical", "Swap panel for a new 200 amp panel"),
-    ("electrical/mechanical", "Relocate old fuse panel to garage"),
-    ("Re-Roof", "Strip old shingle and reroof in metal"),
-    ("residential re-roof", "Tear off & reroof"),
-    ("water heater", "Gas water heater 40 gal like for like"),
-    ("water heater", "Heat pump water heater in the utility room"),
-    ("water heater", "On-demand unit"),
-    ("air conditioner", "Condenser swap, 3 ton"),
+    ("energy efficient system", "Solar thermal loop for the wash house"),
+    ("energy efficient system", "String inverter and rails, 3.84 kw"),
+    ("building misc", "Energy storage cabinet of 11 kwh"),
+    ("ELECTRICAL/MECHANICAL", "Wallbox and cable in the left bay"),
+    ("electrical/mechanical", "Energy storage beside the meter main"),
+    ("electrical/mechanical", "Service upgrade for the workshop"),
+    ("electrical/mechanical", "Relocate one small panel"),
+    ("Reroof", "Slate over the north side"),
+    ("residential re-roof", None),
+    ("water heater", "Propane water heater, tall model"),
+    ("water heater", "HPWH in the pantry"),
+    ("plumbing", "Tankless on the outer wall"),
+    ("air conditioner", "Outdoor condenser on a new pad"),
     ("heating system", ""),
-    ("heating system", "High efficiency furnace"),
-    ("heating system", "H/W HTR swap"),
-    (None, "Ductless mini split in the attic room"),
-    (None, "Standby generator 20kW with transfer switch"),
-    (None, "Evaporative cooler on roof"),
+    ("heating system", "Boiler exchange"),
+    ("plumbing", "New h/w htr in the loft"),
+    (None, "Minisplit for the library"),
+    (None, "Genset of 11 kw behind the fence"),
+    (None, "Swamp cooler exchange"),
     (None, None),
-    ("Windows or Doors", "Replace 9 windows and patio door"),
+    ("Windows or Doors", "Sliding door to the terrace"),
     ("siding", None),
-    (None, "Attic insulation and air seal"),
-    ("addition", "Add a sun room at the rear of the house"),
-    ("new construction", "New single family residence, three bedrooms"),
-    ("remodel", "Kitchen and bath work"),
-    ("other", "Finish walk-out basement with wet bar"),
-    ("pool", "In-ground pool and deck"),
-    ("other", "Hot tub wiring and one outlet"),
-    ("other", "Gas line to outdoor grill near spa"),
-    ("other", "Cedar fence along the north lot line"),
-    ("other", "28 modules with Enphase micro inverters"),
-    ("other", "roof mounted antenna mast 2 kw feed"),
-    ("siding", "Board and batten, battery niche closed"),
-    ("other", "Solar panels 9.1kW, NO battery"),
-    ("other", "22 Brand panels 380w on rear slope"),
-    ("demolition", "Demolish shed"),
-    ("commercial re-roof", "Solar ready conduit with new roof"),
+    (None, "Weatherization of the crawl space"),
+    ("addition", "Glass porch toward the garden"),
+    ("new construction", "Accessory dwelling over the garage"),
+    ("building misc", "Renovation of the upper floor"),
+    ("building misc", "Bathroom tiles and a new tub"),
+    ("pool", "Lap lane of 12 metres"),
+    ("building misc", "Outlet for a spa"),
+    ("building misc", "Gasline to a fire bowl by the pool"),
+    ("building misc", "Stone wall along the lane"),
+    ("building misc", "Ground frame with 17 modules"),
+    ("building misc", "Kiln shed with a feed of 14 kw"),
+    ("siding", "Board and batten over the battery shed"),
+    ("building misc", "Solar system of 6.1 kw, no battery"),
+    ("building misc", "11 dark panels 415w, garage side"),
+    ("demolition", "Take down a barn"),
+    ("commercial re-roof", "Solar ready pipes under new sheets"),
 ]
 
 OWNERS: list[str | None] = [
