@@ -36,9 +36,11 @@ def prepared(t):
     return pin(data.select("strap", "year", "row_id", "label", "features")), prep
 
 
-SMALL_FOREST = dict(numTrees=20, maxDepth=6)
-SMALL_BOOST = dict(maxIter=10, maxDepth=4, stepSize=0.1)
-forest, boost = (lambda: M.forest(**SMALL_FOREST)), (lambda: M.boost(**SMALL_BOOST))
+# Sizes of the models in all queries below: a job argument. The library's defaults are the tuned
+# sizes (100 trees of depth 16, 200 rounds of depth 7), which only make each fit longer here.
+FOREST = dict(numTrees=20, maxDepth=6)
+BOOST = dict(maxIter=10, maxDepth=4, stepSize=0.1)
+forest, boost = (lambda **more: M.forest(**{**FOREST, **more})), (lambda **more: M.boost(**{**BOOST, **more}))
 
 
 @query("m1_preprocess")
@@ -109,8 +111,8 @@ def m8(t):
 
 @query("m9_walk_forward")
 def m9(t):
-    out = M.walk_forward(job(t), {"forest": forest, "boost": boost}, calibrate=False, years=[Y1 - 1, Y1])
-    return tidy(M.lift_table(out, ["model", "install_year"]))
+    out = M.walk_forward(job(t), {"forest": forest, "boost": boost}, selection=M.Selection(keep=8, candidates=12))
+    return tidy(out.metrics())
 
 
 @query("m10_isotonic_calibration")
@@ -126,35 +128,48 @@ def m12(t):
 
 @query("m13_fast_walk_forward")
 def m13(t):
-    out = M.fast_walk_forward(M.Job(pin(frame(t)), NUMERIC, (), Y1 - 2, Y1), temporal_only=["spend", "n_orders", "home_age"], **SMALL_BOOST)
+    out = M.fast_walk_forward(job(t), keep=["spend", "n_orders", "home_age", "saleprice", "sqft"], **BOOST)
     return tidy(M.lift_table(out, ["model", "install_year"]))
 
 
 @query("m14_out_of_sample")
 def m14(t):
-    return M.out_of_sample(job(t), lambda: M.forest(numTrees=10, maxDepth=5), Y1 - 1)
+    return M.out_of_sample(job(t), boost, Y1 - 1)
+
+
+@query("m14_everyone_scored", oracle("homes adoptions", f"""
+SELECT strap, coalesce({Y1 - 1} >= first_year, false) AS adopter FROM g WHERE year = {Y1 - 1}""", g=ADOPTED))
+def m14_everyone(t):
+    return M.out_of_sample(job(t), boost, Y1 - 1).select("strap", "adopter")
+
+
+@query("m14_adopters_by_decile")
+def m14_deciles(t):
+    return tidy(M.adopters_by_decile(M.out_of_sample(job(t), boost, Y1 - 1)))
 
 
 @query("m15_parameter_search")
 def m15(t):
-    return M.parameter_search(job(t), M.forest, {"numTrees": [10], "maxDepth": [3, 6], "minInstancesPerNode": [1, 20]}, [Y1])
+    return M.parameter_search(job(t), forest, {"numTrees": [10, 20], "maxDepth": [3, 6], "minInstancesPerNode": [1, 20]}, [Y1 - 1, Y1])
 
 
 @query("m16_interaction_screen")
 def m16(t):
-    return M.interaction_screen(job(t), [("spend", "n_orders")], ["raw", "log_both"], Y1)
+    pairs = [("spend", "n_orders"), ("home_age", "saleprice"), ("sqft", "numrooms")]
+    return M.interaction_screen(job(t), pairs, ["raw", "log_both"], boost, range(Y0 + 1, Y1 + 1))
 
 
 @query("m17_coefficient_report")
 def m17(t):
     data, prep = prepared(t)
-    return tidy(M.coefficient_report(M.slice_features(data, range(len(NUMERIC))), "label", list(NUMERIC)))
+    return tidy(M.coefficient_report(data, "label", prep.names))
 
 
 @query("m18_bake_off")
 def m18(t):
     data, _ = prepared(t)
-    return tidy(M.bake_off(data))
+    sizes = {"tree": dict(maxDepth=FOREST["maxDepth"]), "forest": FOREST, "boost": dict(maxIter=BOOST["maxIter"], maxDepth=BOOST["maxDepth"])}
+    return tidy(M.bake_off(data, sizes=sizes))
 
 
 # ---- survival ------------------------------------------------------------------------

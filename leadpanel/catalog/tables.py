@@ -256,7 +256,16 @@ def f14(t):
         X.trailing_digits(F.concat(F.lit("R00x"), c("original_index").cast("string"))).alias("original_index"))
 
 
-@query("f15_feature_columns")
+HOME_NUMBERS = ["lat", "lon", "saleprice", "yearbuilt", "year_built_effective_date", "area_building", "mainfloorsf", "sqft", "numstories",
+                "numrooms", "num_bath", "num_bath_partial", "num_bedrooms"]
+HOME_TEXTS = ["saledate", "effective_text", "address", "mailadd", "county", "state2", "szip5", "owner", "subdivision", "usedesc",
+              "zoning_description", "designcodedscr", "sales_cd", "heatingdscr", "acdscr", "carstoragetypedscr", "roof_coverdscr",
+              "solar_panels", "result_manual_check", "block_fips"]
+
+
+@query("f15_feature_columns", oracle("homes", " UNION ALL ".join(
+    [f"SELECT '{n}' AS feature" for n in HOME_NUMBERS]
+    + [f"SELECT '{n}' AS feature FROM homes HAVING count(DISTINCT {n}) <= 20" for n in HOME_TEXTS])))
 def f15(t):
     names = L.feature_columns(t.homes, ["strap", "original_index", "city"])
     return t.spark.createDataFrame([(n,) for n in names], "feature string")

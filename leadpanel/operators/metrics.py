@@ -6,6 +6,7 @@ ordered by id where a cut needs an order, and averaged where ranks are meant.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -152,19 +153,29 @@ def quantile_decile(scored: DataFrame, score: str = "score", n: int = 10) -> Dat
     return scored.where(c(score).isNotNull()).withColumn("decile", (F.lit(len(inner)) - below + 1).cast("bigint"))
 
 
+# Fixed value: random weight vectors tried for four or more models.
+RANDOM_WEIGHTS = 200
+
+
 # ---- ensembles ------------------------------------------------------------------------
 def mean_ensemble(scored: DataFrame, scores: list[str], out: str = "score") -> DataFrame:
     return scored.withColumn(out, sum((c(s) for s in scores[1:]), c(scores[0])) / len(scores))
 
 
 def simplex_weights(n_models: int, n_grid: int = 11) -> list[tuple[float, ...]]:
-    """Weight grid for two or three models."""
+    """Weight grid for two or three models; for more, random points of the simplex, equal and single weights."""
     if n_models == 2:
         return [(i / (n_grid - 1), 1 - i / (n_grid - 1)) for i in range(n_grid)]
     if n_models == 3:
         steps = max(5, n_grid // 2)
         return [(i / steps, j / steps, (steps - i - j) / steps) for i in range(steps + 1) for j in range(steps + 1 - i)]
-    raise ValueError("a weight grid needs two or three models")
+    if n_models < 2:
+        raise ValueError("weights need two models or more")
+    rng = random.Random(42)
+    draws = [[rng.expovariate(1.0) for _ in range(n_models)] for _ in range(RANDOM_WEIGHTS)]
+    points = [tuple(x / sum(d) for x in d) for d in draws]
+    single = [tuple(float(i == j) for j in range(n_models)) for i in range(n_models)]
+    return [*points, tuple([1 / n_models] * n_models), *single]
 
 
 def lift_by_weights(scored: DataFrame, scores: list[str], weights: list[tuple[float, ...]], key: str = "id",

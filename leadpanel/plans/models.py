@@ -157,14 +157,19 @@ def decay_weight(df: DataFrame, year: str = "year", decay: float = DECAY) -> Dat
     return df.crossJoin(F.broadcast(newest)).withColumn("weight", F.pow(F.lit(decay), c("_y") - c(year))).drop("_y")
 
 
-def class_balanced(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
-    """Weights n / (2 * class size)."""
+def class_balanced(df: DataFrame, label: str, weight: str = "weight", times: str | None = None) -> DataFrame:
+    """Weights n / (2 * class size), times another weight if one is named."""
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     total = sum(sizes.values())
     of = F.lit(None).cast("double")
     for value, n in sizes.items():
         of = F.when(c(label) == value, total / (2 * n)).otherwise(of)
-    return df.withColumn(weight, of)
+    return df.withColumn(weight, of * c(times) if times else of)
+
+
+def weighted(train: DataFrame) -> DataFrame:
+    """``weight`` by age for all models, ``forest_weight`` with balanced classes too."""
+    return class_balanced(decay_weight(train), "label", "forest_weight", "weight")
 
 
 # ---- fits ------------------------------------------------------------------------------
@@ -191,7 +196,7 @@ def lift_at(data: DataFrame, share: float = 0.10) -> float:
 
 
 def forest(**over):
-    return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=42, **{**FOREST, **over})
+    return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="forest_weight", seed=42, **{**FOREST, **over})
 
 
 def boost(**over):
@@ -320,6 +325,10 @@ def _percentile(ordered: list[float], share: float) -> float:
     return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
 
 
+# Digits of a score that the calibration curve tells apart; bounds the curve at 10,001 scores.
+CURVE_DIGITS = 4
+
+
 # ---- calibration ---------------------------------------------------------------------------
 def calibrated(make: Callable, train: DataFrame, test: DataFrame, folds: int = 3, key: str = "strap", seed: int = 42) -> DataFrame:
     """Mean of per-fold isotonic corrections: each fold's model is corrected on its held-out rows."""
@@ -328,7 +337,9 @@ def calibrated(make: Callable, train: DataFrame, test: DataFrame, folds: int = 3
     for i in range(folds):
         model = make().fit(train.where(fold != i))
         held = scored(model, train.where(fold == i), "raw")
-        curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(held)
+        # Rows are summed by binned score first: the curve is put together on the driver.
+        points = held.groupBy(F.round("raw", CURVE_DIGITS).alias("raw"), "label").agg(F.sum("weight").alias("weight"))
+        curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)
         raw = scored(model, test, "raw")
         parts.append(curve.transform(raw).select("row_id", c("prediction").alias("p")))
     every = parts[0]
@@ -350,27 +361,117 @@ class Job:
     label: str = "solar_next_year"
 
 
+# A fold with fewer rows is skipped.
+MIN_TRAIN, MIN_TEST = 10, 5
+
+
+def why_skipped(job: Job, install_year: int) -> str | None:
+    """Why an install year has no fold; None when it has one."""
+    valid = job.panel.where(c(job.label) < 2)
+    size = valid.where(c("year").isin(train_years(install_year, job.first_year))).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(job.label).alias("k")).first()
+    if size["n"] < MIN_TRAIN:
+        return "too few training rows"
+    if size["k"] < 2:
+        return "one class in training"
+    return "too few test rows" if valid.where(c("year") == install_year - 1).limit(MIN_TEST).count() < MIN_TEST else None
+
+
 def fold(job: Job, install_year: int) -> tuple[DataFrame, DataFrame, Preprocessor] | None:
     """Prepared train and test rows of one install year; None when too small or one-class."""
+    if why_skipped(job, install_year):
+        return None
     valid = job.panel.where(c(job.label) < 2)
     train = valid.where(c("year").isin(train_years(install_year, job.first_year)))
     test = valid.where(c("year") == install_year - 1)
-    size = train.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(job.label).alias("k")).first()
-    if size["n"] < 10 or size["k"] < 2 or test.limit(5).count() < 5:
-        return None
     prep = Preprocessor(list(job.numeric), list(job.text)).fit(train)
     ready = lambda df: prep.transform(df).select("strap", "year", "row_id", c(job.label).cast("int").alias("label"), "features")
-    return pin(decay_weight(ready(train))), pin(ready(test)), prep
+    return pin(weighted(ready(train))), pin(ready(test)), prep
 
 
-def walk_forward(job: Job, models: dict[str, Callable], calibrate: bool = True, years: Sequence[int] | None = None) -> DataFrame:
-    """Test scores of every model and fold plus their mean: (model, install_year, id, y, score)."""
+@dataclass(frozen=True)
+class Selection:
+    """How a fold chooses its features."""
+
+    keep: int = 25
+    candidates: int = 50
+    min_positives: int = 30
+    min_ones: int = MIN_ONES
+    recent_years: int = 5  # the last install year chooses on these only
+    exempt: tuple[str, ...] = ("battery", "ev_charger", "heat_pump")
+
+
+def rare_ones(train: DataFrame, names: Sequence[str], chosen: Selection) -> set[str]:
+    """0/1 features of the vector with too few ones."""
+    long = train.select(F.posexplode(vector_to_array("features")).alias("f", "v"))
+    found = long.groupBy("f").agg(F.sum((c("v") == 1).cast("bigint")).alias("ones"), F.min(c("v").isin(0.0, 1.0).cast("int")).alias("binary"))
+    few = found.where((c("binary") == 1) & (c("ones") < chosen.min_ones)).select("f").collect()  # one row per feature
+    return {names[r["f"]] for r in few if not any(e in names[r["f"]] for e in chosen.exempt)}
+
+
+def select_features(train: DataFrame, names: Sequence[str], chosen: Selection) -> tuple[list[str], list[tuple]]:
+    """The features of one fold and ``(feature, importance, lift_drop, rank)`` of the candidates.
+
+    Low-count filter, importance of three linear fits, re-ranking by the lift that
+    is lost when a feature is shuffled, then the correlation filter. With few
+    features or few positives all that pass the low-count filter stay.
+    """
+    rare = rare_ones(train, names, chosen)
+    left = [n for n in names if n not in rare]
+    positives = train.where(c("label") == 1).count()
+    if len(left) <= chosen.keep or positives < chosen.min_positives:
+        return left, [(n, None, None, i + 1) for i, n in enumerate(left)]
+    at = {n: i for i, n in enumerate(names)}
+    sliced = pin(slice_features(train, [at[n] for n in left]))
+    importance = linear_importance(sliced, "label", left)
+    ranked = sorted(left, key=lambda n: (-importance[n], n))[:chosen.candidates]
+    drops: dict[str, float] = {}
+    if len(ranked) > chosen.keep:
+        some = slice_features(train, [at[n] for n in ranked])
+        drops = {r["feature"]: r["lift_drop"] for r in permutation_lift(some, "label", ranked).collect()}  # one row per candidate
+        ranked = sorted(ranked, key=lambda n: (-drops[n], -importance[n], n))
+    kept = drop_correlated(sliced, left, ranked, chosen.keep)
+    place = {n: i + 1 for i, n in enumerate(kept)}
+    return kept, [(n, float(importance[n]), drops.get(n), place.get(n)) for n in ranked]
+
+
+@dataclass(frozen=True)
+class WalkForward:
+    """What a walk-forward job gives."""
+
+    scores: DataFrame  # model, install_year, id, y, score
+    features: DataFrame  # install_year, feature, importance, lift_drop, rank (null: not chosen)
+    folds: DataFrame  # install_year, n_features, status (done, or why it was skipped)
+
+    def metrics(self) -> DataFrame:
+        """Lift, capture, ROC-AUC and average precision of every model and fold."""
+        groups = ["model", "install_year"]
+        scores = pin(self.scores)
+        return (E.lift_and_capture(scores, groups).join(E.roc_auc(scores, groups), groups, "left")
+                .join(E.average_precision(scores, groups), groups, "left"))
+
+
+def walk_forward(job: Job, models: dict[str, Callable], calibrate: bool = True, years: Sequence[int] | None = None,
+                 selection: Selection | None = None) -> WalkForward:
+    """Every fold: preparation, feature selection, weights, fits, calibration, and the models' mean as ``ensemble``."""
+    spark = job.panel.sparkSession
     out: list[DataFrame] = []
+    table: list[tuple] = []
+    folds: list[tuple] = []
     for year in years or range(job.first_year + 1, job.last_year + 1):
-        ready = fold(job, year)
-        if ready is None:
+        reason = why_skipped(job, year)
+        if reason:
+            folds.append((year, 0, reason))
             continue
-        train, test, _ = ready
+        train, test, prep = fold(job, year)
+        names = list(prep.names)
+        if selection is not None:
+            recent = train.where(c("year") >= year - selection.recent_years) if year == job.last_year else train
+            kept, found = select_features(recent, names, selection)
+            table += [(year, *row) for row in found]
+            at = [names.index(n) for n in kept]
+            train, test, names = pin(slice_features(train, at)), pin(slice_features(test, at)), kept
+        folds.append((year, len(names), "done"))
         fits = []
         for name, make in models.items():
             result = calibrated(make, train, test) if calibrate else scored(make().fit(train), test)
@@ -384,19 +485,22 @@ def walk_forward(job: Job, models: dict[str, Callable], calibrate: bool = True,
             mean = every.groupBy("install_year", "id", "y").agg(F.avg("score").alias("score")).withColumn("model", F.lit("ensemble"))
             every = every.unionByName(mean)
         out.append(every)
-    result = out[0]
-    for f in out[1:]:
+    result = rows(spark, [], "model string, install_year bigint, id string, y int, score double")
+    for f in out:
         result = result.unionByName(f)
-    return result
+    return WalkForward(
+        result, rows(spark, table, "install_year bigint, feature string, importance double, lift_drop double, rank int"),
+        rows(spark, folds, "install_year bigint, n_features int, status string"))
 
 
 def final_list(job: Job, models: dict[str, Callable], install_year: int) -> DataFrame:
-    """Homes without the target in the last feature year with every model's score and decile."""
+    """Homes without the target in the last feature year with every model's calibrated score and decile."""
     train, test, _ = fold(job, install_year)
-    result = test.where(c("label") == 0)
-    scores = []
+    test = test.where(c("label") == 0)
+    result, scores = test, []
     for name, make in models.items():
-        result = scored(make().fit(train), result, f"{name}_score")
+        part = calibrated(make, train, test).select("row_id", c("score").alias(f"{name}_score"))
+        result = result.join(part, "row_id")
         scores.append(f"{name}_score")
     result = E.mean_ensemble(result, scores, "ensemble_score").select("strap", *scores, "ensemble_score")
     result = pin(result)
@@ -416,23 +520,38 @@ def fast_walk_forward(job: Job, keep: Sequence[str] | None = None, temporal_only
     start = first_positive_year(job.panel, job.label)
     job = Job(job.panel, tuple(numeric), () if temporal_only is not None else job.text, max(job.first_year, start or job.first_year),
               job.last_year, job.label)
-    return walk_forward(job, {"boost": lambda: boost(**params)}, calibrate=False)
+    return walk_forward(job, {"boost": lambda: boost(**params)}, calibrate=False).scores
 
 
-def out_of_sample(job: Job, make: Callable, year: int, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Every home of a year scored by a model that saw none of its rows."""
-    valid = job.panel.where((c(job.label) < 2) & (c("year") <= year))
-    prep = Preprocessor(list(job.numeric), list(job.text)).fit(valid)
-    data = pin(decay_weight(prep.transform(valid).select("strap", "year", "row_id", c(job.label).cast("int").alias("label"), "features")))
-    part = fold_of("strap", folds, seed)
-    out = None
+def out_of_sample(job: Job, make: Callable, year: int, folds: int = 5, seed: int = 42, calibrate: bool = True,
+                  window: int = TRAIN_WINDOW) -> DataFrame:
+    """Every home of a year, adopters too, scored by models that saw none of its rows: (strap, label, adopter, score).
+
+    Each fold prepares and fits on the other homes' rows of the year and the ``window`` years before it.
+    """
+    fold_number = fold_of("strap", folds, seed)
+    valid = job.panel.where((c(job.label) < 2) & c("year").between(year - window, year))
+    out = rows(job.panel.sparkSession, [], "strap string, label int, adopter boolean, score double")
     for i in range(folds):
-        model = make().fit(data.where(part != i))
-        piece = scored(model, data.where((part == i) & (c("year") == year))).select("strap", "label", "score")
-        out = piece if out is None else out.unionByName(piece)
+        train, test = valid.where(fold_number != i), job.panel.where((c("year") == year) & (fold_number == i))
+        prep = Preprocessor(list(job.numeric), list(job.text)).fit(train)
+        ready = lambda df, prep=prep: prep.transform(df).select("strap", "year", "row_id", c(job.label).cast("int").alias("label"), "features")
+        train, test = pin(weighted(ready(train))), pin(ready(test))
+        # Another seed: the held-out homes of this fold are one fold of the same numbering.
+        found = calibrated(make, train, test, seed=seed + 1) if calibrate else scored(make().fit(train), test)
+        out = out.unionByName(found.select("strap", "label", (c("label") == 2).alias("adopter"), "score"))
     return out
 
 
+def adopters_by_decile(found: DataFrame) -> DataFrame:
+    """How many homes and adopters each score decile holds: (decile, homes, adopters, share_of_adopters)."""
+    ranked = E.position_decile(found, key="strap").groupBy("decile").agg(
+        F.count(F.lit(1)).alias("homes"), F.sum(c("adopter").cast("bigint")).alias("adopters"))
+    every = ranked.agg(F.sum("adopters").alias("_all"))  # one row
+    return ranked.crossJoin(F.broadcast(every)).select(
+        "decile", "homes", "adopters", (c("adopters") / F.nullif(c("_all"), F.lit(0))).alias("share_of_adopters"))
+
+
 def parameter_search(job: Job, make: Callable, grid: dict[str, list], years: Sequence[int], parallel: int = 4) -> DataFrame:
     """Mean top-10 % lift over the given folds for every parameter combination; fits run side by side."""
     spark = job.panel.sparkSession
@@ -452,24 +571,42 @@ def parameter_search(job: Job, make: Callable, grid: dict[str, list], years: Seq
     return rows(spark, found, "params string, mean_lift double")
 
 
-def interaction_screen(job: Job, pairs: Sequence[tuple[str, str]], kinds: Sequence[str], install_year: int) -> DataFrame:
-    """Top-10 % lift of a ridge model with each product of two features on each scale, against none."""
-    def lift(panel: DataFrame, numeric: Sequence[str]) -> float:
-        ready = fold(Job(panel, tuple(numeric), (), job.first_year, job.last_year, job.label), install_year)
-        if ready is None:
-            return 0.0
-        train, test, _ = ready
-        model = logistic(class_balanced(train, "label"), "label", "l2", 1.0, max_iter=50)
-        return lift_at(scored(model, test).select(c("strap").alias("id"), c("label").alias("y"), "score"))
+# Gain from which a product is worth keeping; smallest folds that are judged.
+MIN_GAIN = 0.05
+SCREEN_TRAIN, SCREEN_TEST, SCREEN_POSITIVES = 100, 20, 5
+
 
-    base = lift(job.panel, job.numeric)
-    found = [("none", "none", base, 0.0)]
-    for (a, b), kind in itertools.product(pairs, kinds):
-        name = f"{a}_x_{b}"
-        with_it = job.panel.withColumn(name, interaction(c(a).cast("double"), c(b).cast("double"), kind))
-        value = lift(with_it, [*job.numeric, name])
-        found.append((name, kind, value, value - base))
-    return rows(job.panel.sparkSession, found, "pair string, kind string, lift_10pct double, gain double")
+def interaction_screen(job: Job, pairs: Sequence[tuple[str, str]], kinds: Sequence[str], make: Callable,
+                       years: Sequence[int], seed: int = 42) -> DataFrame:
+    """Mean top-10 % lift of boosting with each product of two features on each scale, against none.
+
+    Homes are split 80/20. A fold is prepared once, with all products as columns; each
+    fit sees the base features and one product.
+    """
+    products = {f"{a}_x_{b}:{kind}": interaction(c(a).cast("double"), c(b).cast("double"), kind)
+                for (a, b), kind in itertools.product(pairs, kinds)}
+    panel = job.panel.where(c(job.label) < 2).withColumns(products)
+    train_homes, test_homes = split_by_group(panel, "strap", 0.2, seed)
+    lifts: dict[str, list[float]] = {"": [], **{n: [] for n in products}}
+    for year in years:
+        train = train_homes.where(c("year").between(job.first_year, year - 1))
+        test = test_homes.where(c("year") == year - 1)
+        n_test = test.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(job.label), F.lit(0)).alias("pos")).first()
+        if train.count() < SCREEN_TRAIN or n_test["n"] < SCREEN_TEST or n_test["pos"] < SCREEN_POSITIVES:
+            continue
+        prep = Preprocessor([*job.numeric, *products], list(job.text)).fit(train)
+        ready = lambda df, prep=prep: prep.transform(df).select("strap", c(job.label).cast("int").alias("label"), "features", F.lit(1.0).alias("weight"))
+        train, test = pin(ready(train)), pin(ready(test))
+        base = [i for i, n in enumerate(prep.names) if n not in products]
+        for name in lifts:
+            use = base + ([prep.names.index(name)] if name else [])
+            result = scored(make().fit(slice_features(train, use)), slice_features(test, use))
+            lifts[name].append(lift_at(result.select(c("strap").alias("id"), c("label").alias("y"), "score")))
+    mean = {n: sum(v) / len(v) if v else 0.0 for n, v in lifts.items()}
+    gain = lambda n: (mean[n] - mean[""]) / mean[""] if mean[""] > 0 else 0.0
+    found = [("none", "none", len(lifts[""]), mean[""], 0.0, False)]
+    found += [(*n.split(":"), len(v), mean[n], gain(n), gain(n) >= MIN_GAIN) for n, v in lifts.items() if n]
+    return rows(job.panel.sparkSession, found, "pair string, kind string, folds int, lift_10pct double, gain double, keep boolean")
 
 
 def coefficient_report(data: DataFrame, label: str, names: Sequence[str]) -> DataFrame:
@@ -481,15 +618,27 @@ def coefficient_report(data: DataFrame, label: str, names: Sequence[str]) -> Dat
                 "feature string, log_odds double, p_value double, odds_ratio double, pct_change double, significant boolean")
 
 
-def bake_off(data: DataFrame, label: str = "label", seed: int = 42) -> DataFrame:
-    """Linear, tree, forest and boosting on a class-balanced 75/25 split by row."""
-    bucket = F.pmod(hash_order("row_id", seed), F.lit(100))
-    train, test = pin(class_balanced(data.where(bucket >= 25), label)), pin(data.where(bucket < 25))
+# ---- fixed values: sizes of the compared models -------------------------------------------
+BAKE_OFF = {"tree": dict(maxDepth=10), "forest": dict(numTrees=100, maxDepth=10), "boost": dict(maxIter=100, maxDepth=5)}
+
+
+def stratified_split(data: DataFrame, label: str, key: str, test_share: float = 0.25, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows with the same share of every class: the first rows of each class in hash order are the test."""
+    placed = pin(add_position(data, [hash_order(key, seed), c(key)], [label], position="_p", total="_n"))
+    test = c("_p") <= F.round(c("_n") * test_share)
+    return placed.where(~test).drop("_p", "_n"), placed.where(test).drop("_p", "_n")
+
+
+def bake_off(data: DataFrame, label: str = "label", seed: int = 42, sizes: dict[str, dict] = BAKE_OFF, balanced: bool = False) -> DataFrame:
+    """Linear, tree, forest and boosting on a 75/25 split with equal class shares."""
+    train, test = stratified_split(data, label, "row_id", 0.25, seed)
+    train = pin(class_balanced(train, label) if balanced else train.withColumn("weight", F.lit(1.0)))
+    common = dict(featuresCol="features", labelCol=label, weightCol="weight")
     makers = {
-        "logistic": LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=100),
-        "tree": DecisionTreeClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxDepth=6, seed=seed),
-        "forest": RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=20, maxDepth=6, seed=seed),
-        "boost": GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=10, maxDepth=4, seed=seed),
+        "logistic": LogisticRegression(**common, maxIter=100),
+        "tree": DecisionTreeClassifier(**common, seed=seed, **sizes["tree"]),
+        "forest": RandomForestClassifier(**common, seed=seed, **sizes["forest"]),
+        "boost": GBTClassifier(**common, seed=seed, **sizes["boost"]),
     }
     every = None
     for name, maker in makers.items():

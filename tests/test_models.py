@@ -63,7 +63,12 @@ def test_correlation_filter(spark):
 def test_walk_forward(panel):
     job = M.Job(panel, ("x", "noise"), ("kind",), 2000, 2005)
     make = {"forest": lambda: M.forest(numTrees=5, maxDepth=3, minInstancesPerNode=5), "boost": lambda: M.boost(maxIter=3, maxDepth=2)}
-    out = M.walk_forward(job, make, years=[2005])
+    found = M.walk_forward(job, make, years=[2001, 2005], selection=M.Selection(keep=1, min_positives=5))
+    out = found.scores
+    assert {r["install_year"]: r["status"] for r in found.folds.collect()} == {2001: "too few training rows", 2005: "done"}
+    chosen = [r["feature"] for r in found.features.where("rank = 1").collect()]
+    assert chosen == ["x"]
+    assert {r["model"] for r in found.metrics().collect()} == {"forest", "boost", "ensemble"}
     lift = {r["model"]: r["lift_10pct"] for r in M.lift_table(out, ["model"]).collect()}
     assert set(lift) == {"forest", "boost", "ensemble"} and lift["ensemble"] > 1.5
     assert out.where("score < 0 OR score > 1").count() == 0
@@ -72,8 +77,39 @@ def test_walk_forward(panel):
 
 def test_out_of_sample_covers_everyone(panel):
     job = M.Job(panel, ("x",), (), 2000, 2005)
+    adopted = panel.withColumn("solar_next_year", F.when(F.col("strap") < "h12", 2).otherwise(F.col("solar_next_year")))
+    job = M.Job(adopted, ("x",), (), 2000, 2005)
     out = M.out_of_sample(job, lambda: M.forest(numTrees=3, maxDepth=3), 2004, folds=3)
     assert out.count() == out.select("strap").distinct().count() == 300
+    assert out.where("adopter").count() == adopted.where("year = 2004 AND solar_next_year = 2").count() > 0
+    deciles = M.adopters_by_decile(out).collect()
+    assert sum(r["homes"] for r in deciles) == 300 and abs(sum(r["share_of_adopters"] for r in deciles) - 1) < 1e-9
+
+
+def test_interactions_are_judged_on_all_folds(panel):
+    job = M.Job(panel, ("x", "noise"), (), 2000, 2005)
+    got = M.interaction_screen(job, [("x", "noise")], ["raw", "log_both"], lambda: M.boost(maxIter=2, maxDepth=2), [2004, 2005]).collect()
+    assert [(r["pair"], r["kind"], r["folds"]) for r in got] == [("none", "none", 2), ("x_x_noise", "raw", 2), ("x_x_noise", "log_both", 2)]
+
+
+def test_stratified_split_keeps_the_shares(spark):
+    data = spark.range(400).select(F.col("id").cast("string").alias("row_id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
+    train, test = M.stratified_split(data, "label", "row_id")
+    assert (test.where("label = 1").count(), test.count(), train.count()) == (10, 100, 300)
+
+
+def test_forest_weights_balance_the_classes(spark):
+    data = spark.range(100).select((F.col("id") < 10).cast("int").alias("label"), (F.lit(2000) + F.col("id") % 2).alias("year"))
+    sums = {r["label"]: r["w"] for r in M.weighted(data).groupBy("label").agg(F.sum("forest_weight").alias("w")).collect()}
+    assert abs(sums[0] - sums[1]) < 1e-9
+
+
+def test_weights_for_many_models():
+    from leadpanel.operators.metrics import simplex_weights
+
+    found = simplex_weights(4)
+    assert len(found) == 205 and all(abs(sum(w) - 1) < 1e-9 and min(w) >= 0 for w in found)
+    assert (0.25, 0.25, 0.25, 0.25) in found and (0.0, 1.0, 0.0, 0.0) in found
 
 
 def test_low_counts(spark):

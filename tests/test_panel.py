@@ -139,3 +139,61 @@ def test_price_series_state():
     assert PL.price_series_applies("Average price, California (ca)", "CA")
     assert not PL.price_series_applies("Average price, Colorado", "NM")
     assert PL.price_series_applies("anything", "CO")
+
+
+def small_panel(spark, homes, schema, permits, **more):
+    from leadpanel.functions.permit_rules import FLAGS
+    from leadpanel.plans import panel as PL
+
+    flags = ", ".join(f"{f} int" for f in FLAGS)
+    rows = [(strap, f"{year}-06-01", *(int(f == flag) for f in FLAGS)) for strap, year, flag in permits]
+    inputs = PL.PanelInputs(homes=spark.createDataFrame(homes, schema), permits=spark.createDataFrame(rows, f"strap string, issue string, {flags}"),
+                            issue_date="issue", **more)
+    return PL.build_panel(inputs)
+
+
+def test_panel_without_optional_columns(spark):
+    homes = [("a", 40.0, -105.0), ("b", 40.0001, -105.0)]
+    got = small_panel(spark, homes, "strap string, lat double, lon double", [("a", 2003, "solar_pv")], year_min=2000, year_max=2005).collect()
+    assert {(r["strap"], r["year"]): r["solar_next_year"] for r in got}[("a", 2002)] == 1
+    assert all(r["saleprice"] is None and r["roof_score_coverage"] == 0 for r in got)
+
+
+def test_adopted_neighbours_expire(spark):
+    homes = [("a", 40.0, -105.0), ("b", 40.0001, -105.0)]
+    permits = [("a", 1985, "solar_pv"), ("a", 2014, "solar_pv"), ("b", 1990, "roof_new_or_replace")]
+    got = small_panel(spark, homes, "strap string, lat double, lon double", permits, year_min=1984, year_max=2016).collect()
+    own = {r["year"]: r["solar_pv"] for r in got if r["strap"] == "a"}
+    seen = {r["year"]: r["count_0_05mi"] for r in got if r["strap"] == "b"}
+    share = {r["year"]: r["closest_fifty_percentage"] for r in got if r["strap"] == "b"}
+    last = {r["year"]: r["last_year_neighbors_w_solar_0_05mi"] for r in got if r["strap"] == "b"}
+    assert seen == own and share == {y: 100.0 * v for y, v in own.items()}
+    assert own[2009] == 1 and own[2010] == 0 and own[2014] == 1
+    assert [y for y, v in last.items() if v] == [1986]
+
+
+def test_known_roof_score_beats_a_null_one(spark):
+    from leadpanel.plans import panel as PL
+
+    homes = spark.createDataFrame([(1,), (2,)], "original_index bigint")
+    scores = spark.createDataFrame([(1, None), (1, 80.0), (2, 40.0)], "original_index bigint, roof_score double")
+    assert sorted(r["roof_score"] for r in PL.with_roof_score(homes, scores).collect()) == [40.0, 80.0]
+    few = PL.with_roof_score(homes, scores.where("original_index = 2"), min_coverage=0.6).collect()
+    assert [(r["roof_score"], r["roof_score_coverage"]) for r in few] == [(None, 0.5)] * 2
+
+
+def test_price_series_of_another_state_is_left_out(spark):
+    homes = [("a", 40.0, -105.0)]
+    prices = spark.createDataFrame([(2001, 0.1, 0.0)], "year int, avg_price double, year_trend double")
+    with_prices = lambda described: small_panel(
+        spark, homes, "strap string, lat double, lon double", [], year_min=2000, year_max=2002, prices=prices,
+        price_description=described, state="NM").columns
+    assert "avg_electricity_price" in with_prices("Average price, NM") and "avg_electricity_price" not in with_prices("Average price, AZ")
+
+
+def test_no_shuffle_moves_home_years(spark):
+    homes = [("a", 40.0, -105.0), ("b", 40.0001, -105.0)]
+    panel = small_panel(spark, homes, "strap string, lat double, lon double", [("a", 2003, "solar_pv")], year_min=2000, year_max=2005)
+    plan = panel._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "Exchange" not in above, above
