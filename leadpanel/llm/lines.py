@@ -18,6 +18,8 @@ like any other; an empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,26 +43,35 @@ class Tree:
 TREE = Tree()
 
 
-def shape(line: Column) -> Column:
-    """The line with single spaces and with tokens that hold a digit masked."""
-    plain = F.trim(F.regexp_replace(line, "[ \\t\\r\\f\\x0B]+", " "))
+def _single_spaces(line: Column) -> Column:
+    """White space collapsed; plain searches spare most lines the regex."""
+    odd = reduce(or_, [F.contains(line, F.lit(s)) for s in ("  ", "\t", "\r", "\f", "\x0b")])
+    return F.trim(F.when(odd, F.regexp_replace(line, "[ \\t\\r\\f\\x0B]+", " ")).otherwise(line))
+
+
+def _masked(plain: Column) -> Column:
     masked = F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
     return F.when(plain.rlike("[0-9]"), masked).otherwise(plain)
 
 
+def shapes(text: Column) -> Column:
+    """The lines of a text with single spaces and with tokens that hold a digit masked, as an array."""
+    return F.transform(F.transform(F.split(text, "\n"), _single_spaces), _masked)
+
+
 def _document_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
 def shaped_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     """``key, doc_id, n, shape, leaf, whole`` of each line that is long enough."""
+    # Shaped before they are exploded, so that what follows reads a column and does not shape again.
     lines = docs.where(F.col("text").isNotNull()).select(
-        _document_key().alias("key"), "doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")
+        _document_key().alias("key"), "doc_id", F.posexplode(shapes(F.col("text"))).alias("n", "shape")
     )
     tokens = F.length("shape") - F.length(F.replace(F.col("shape"), F.lit(" "))) + 1
     return (
-        lines.select("key", "doc_id", "n", shape(F.col("line")).alias("shape"))
-        .withColumn("tokens", tokens)
+        lines.withColumn("tokens", tokens)
         .where(F.col("tokens") >= tree.min_tokens)
         .withColumn("leaf", F.xxhash64("tokens", F.substring_index("shape", " ", tree.depth)))
         .withColumn("whole", F.xxhash64("tokens", "shape"))
@@ -81,8 +92,7 @@ def _recurring(lines: DataFrame, template: str, tree: Tree) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     """``key, n`` of every line that is a repetition of a recurring template."""
-    text = shaped_lines(docs, tree)
-    lines = pin(text.drop("shape"))
+    lines = pin(shaped_lines(docs, tree).drop("shape"))
 
     whole = pin(_recurring(lines, "whole", tree))
     leaves = (
@@ -93,10 +103,15 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     )
     leaves = pin(leaves)
 
-    # Only lines that recur by leaf but not word for word can gain from fields.
-    open_lines = pin(
-        text.join(leaves.select("leaf"), "leaf", "left_semi")
+    # Only lines that recur by leaf but not word for word can gain from fields; only their documents are shaped again.
+    wanted = pin(
+        lines.join(leaves.select("leaf"), "leaf", "left_semi")
         .join(whole.select("whole"), "whole", "left_anti")
+        .select("key", "n").distinct()
+    )
+    again = docs.withColumn("_k", _document_key()).join(wanted.select(F.col("key").alias("_k")), "_k", "left_semi").drop("_k")
+    open_lines = pin(
+        shaped_lines(again, tree).join(wanted, ["key", "n"])
         .select("key", "doc_id", "n", "leaf", F.split("shape", " ").alias("tokens"))
     )
     common = (
