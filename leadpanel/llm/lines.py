@@ -109,9 +109,9 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
         .join(whole.select("whole"), "whole", "left_anti")
         .select("key", "n").distinct()
     )
-    again = docs.withColumn("_k", _document_key()).join(wanted.select(F.col("key").alias("_k")), "_k", "left_semi").drop("_k")
+    involved = docs.withColumn("_k", _document_key()).join(wanted.select(F.col("key").alias("_k")), "_k", "left_semi").drop("_k")
     open_lines = pin(
-        shaped_lines(again, tree).join(wanted, ["key", "n"])
+        shaped_lines(involved, tree).join(wanted, ["key", "n"])
         .select("key", "doc_id", "n", "leaf", F.split("shape", " ").alias("tokens"))
     )
     common = (
