@@ -48,6 +48,16 @@ BOOST = dict(maxIter=200, maxDepth=7, stepSize=0.030410071368193792, subsampling
              minInstancesPerNode=38)
 
 
+# Folds and fits that run at a time; their jobs share the cluster.
+SIDE_BY_SIDE = 4
+
+
+def side_by_side(work: Callable, items) -> list:
+    """``work`` of each item, a few at a time; every one starts Spark jobs of its own."""
+    with ThreadPool(SIDE_BY_SIDE) as pool:
+        return pool.map(work, list(items), chunksize=1)
+
+
 def rows(spark: SparkSession, data: list[tuple], schema: str) -> DataFrame:
     """A small result table made from driver numbers."""
     return spark.createDataFrame(data, schema)
@@ -455,23 +465,19 @@ def walk_forward(job: Job, models: dict[str, Callable], calibrate: bool = True,
                  selection: Selection | None = None) -> WalkForward:
     """Every fold: preparation, feature selection, weights, fits, calibration, and the models' mean as ``ensemble``."""
     spark = job.panel.sparkSession
-    out: list[DataFrame] = []
-    table: list[tuple] = []
-    folds: list[tuple] = []
-    for year in years or range(job.first_year + 1, job.last_year + 1):
+
+    def one(year: int) -> tuple[DataFrame | None, list[tuple], tuple]:
         reason = why_skipped(job, year)
         if reason:
-            folds.append((year, 0, reason))
-            continue
+            return None, [], (year, 0, reason)
         train, test, prep = fold(job, year)
-        names = list(prep.names)
+        names, table = list(prep.names), []
         if selection is not None:
             recent = train.where(c("year") >= year - selection.recent_years) if year == job.last_year else train
             kept, found = select_features(recent, names, selection)
-            table += [(year, *row) for row in found]
+            table = [(year, *row) for row in found]
             at = [names.index(n) for n in kept]
             train, test, names = pin(slice_features(train, at)), pin(slice_features(test, at)), kept
-        folds.append((year, len(names), "done"))
         fits = []
         for name, make in models.items():
             result = calibrated(make, train, test) if calibrate else scored(make().fit(train), test)
@@ -484,13 +490,17 @@ def walk_forward(job: Job, models: dict[str, Callable], calibrate: bool = True,
         if len(fits) > 1:
             mean = every.groupBy("install_year", "id", "y").agg(F.avg("score").alias("score")).withColumn("model", F.lit("ensemble"))
             every = every.unionByName(mean)
-        out.append(every)
+        return every, table, (year, len(names), "done")
+
+    found = side_by_side(one, years or range(job.first_year + 1, job.last_year + 1))
     result = rows(spark, [], "model string, install_year bigint, id string, y int, score double")
-    for f in out:
-        result = result.unionByName(f)
+    for scores, _, _ in found:
+        result = result if scores is None else result.unionByName(scores)
     return WalkForward(
-        result, rows(spark, table, "install_year bigint, feature string, importance double, lift_drop double, rank int"),
-        rows(spark, folds, "install_year bigint, n_features int, status string"))
+        result,
+        rows(spark, [r for _, table, _ in found for r in table],
+             "install_year bigint, feature string, importance double, lift_drop double, rank int"),
+        rows(spark, [f for *_, f in found], "install_year bigint, n_features int, status string"))
 
 
 def final_list(job: Job, models: dict[str, Callable], install_year: int) -> DataFrame:
@@ -531,15 +541,19 @@ def out_of_sample(job: Job, make: Callable, year: int, folds: int = 5, seed: int
     """
     fold_number = fold_of("strap", folds, seed)
     valid = job.panel.where((c(job.label) < 2) & c("year").between(year - window, year))
-    out = rows(job.panel.sparkSession, [], "strap string, label int, adopter boolean, score double")
-    for i in range(folds):
+
+    def one(i: int) -> DataFrame:
         train, test = valid.where(fold_number != i), job.panel.where((c("year") == year) & (fold_number == i))
         prep = Preprocessor(list(job.numeric), list(job.text)).fit(train)
         ready = lambda df, prep=prep: prep.transform(df).select("strap", "year", "row_id", c(job.label).cast("int").alias("label"), "features")
         train, test = pin(weighted(ready(train))), pin(ready(test))
         # Another seed: the held-out homes of this fold are one fold of the same numbering.
         found = calibrated(make, train, test, seed=seed + 1) if calibrate else scored(make().fit(train), test)
-        out = out.unionByName(found.select("strap", "label", (c("label") == 2).alias("adopter"), "score"))
+        return found.select("strap", "label", (c("label") == 2).alias("adopter"), "score")
+
+    out = rows(job.panel.sparkSession, [], "strap string, label int, adopter boolean, score double")
+    for part in side_by_side(one, range(folds)):
+        out = out.unionByName(part)
     return out
 
 
@@ -598,10 +612,14 @@ def interaction_screen(job: Job, pairs: Sequence[tuple[str, str]], kinds: Sequen
         ready = lambda df, prep=prep: prep.transform(df).select("strap", c(job.label).cast("int").alias("label"), "features", F.lit(1.0).alias("weight"))
         train, test = pin(ready(train)), pin(ready(test))
         base = [i for i, n in enumerate(prep.names) if n not in products]
-        for name in lifts:
+
+        def lift(name: str, train=train, test=test, base=base, prep=prep) -> float:
             use = base + ([prep.names.index(name)] if name else [])
             result = scored(make().fit(slice_features(train, use)), slice_features(test, use))
-            lifts[name].append(lift_at(result.select(c("strap").alias("id"), c("label").alias("y"), "score")))
+            return lift_at(result.select(c("strap").alias("id"), c("label").alias("y"), "score"))
+
+        for name, value in zip(lifts, side_by_side(lift, lifts)):
+            lifts[name].append(value)
     mean = {n: sum(v) / len(v) if v else 0.0 for n, v in lifts.items()}
     gain = lambda n: (mean[n] - mean[""]) / mean[""] if mean[""] > 0 else 0.0
     found = [("none", "none", len(lifts[""]), mean[""], 0.0, False)]
