@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,10 +44,46 @@ def upsert_log(keys: list[str], version: str, path: str) -> Callable[[DataFrame,
     return write
 
 
+def _base_path(path: str) -> str:
+    return f"{path.rstrip('/')}-base"
+
+
+def _bases(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(_base_path(path))
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    """The newest compacted table and the batches after it; earlier folders are pruned, not read."""
+    log = spark.read.option("basePath", path).parquet(path)
+    bases = _bases(spark, path)
+    newest = None if bases is None else bases.agg(F.max("upto")).first()[0]
+    if newest is None:
+        return log.drop("batch_id")
+    return log.where(c("batch_id") > newest).drop("batch_id").unionByName(bases.where(c("upto") == newest).drop("upto"))
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> int | None:
+    """Write the current table once, so that later reads skip the batches up to now; returns the last of them.
+
+    The table goes to a folder of its own and counts once it is whole; old folders are
+    left for whoever keeps the storage, and a repeated run overwrites only its own folder.
+    """
+    last = spark.read.option("basePath", path).parquet(path).agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    table = latest_per_key(_log(spark, path), keys, [c("_batch"), *[c(o) for o in order]])
+    table.write.mode("overwrite").parquet(f"{_base_path(path)}/upto={last}")
+    return last
+
+
 def read_upserts(spark: SparkSession, path: str, keys: list[str], version: str) -> DataFrame:
     """Current table: the latest batch wins per key."""
-    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    return latest_per_key(log, keys, [c("_batch"), c(version)]).drop("_batch")
+    return latest_per_key(_log(spark, path), keys, [c("_batch"), c(version)]).drop("_batch")
 
 
 def permit_feed(stream: DataFrame, version: str, path: str, checkpoint: str, tasks: int | None = None) -> StreamingQuery:
@@ -75,7 +112,7 @@ def rolling_counts(stream: DataFrame, time: str, kind: str, days: int, slide_day
 
 
 def first_event(stream: DataFrame, key: str, condition: Column, time: str) -> DataFrame:
-    """Running first event per key; state holds one time per key."""
+    """Running first event per key; state holds one time per key, for ever: any later event may be earlier."""
     return stream.where(condition).groupBy(key).agg(F.min(time).alias("first_at"))
 
 
@@ -89,5 +126,4 @@ def write_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str
 
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    log = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    return latest_per_key(log, keys, [c("_batch")]).drop("_batch")
+    return latest_per_key(_log(spark, path), keys, [c("_batch")]).drop("_batch")

@@ -52,3 +52,34 @@ def test_first_event_updates(spark, tmp_path):
     J.write_updates(J.first_event(stream, "user", F.col("kind") == "buy", "ts"), ["user"], f"{tmp_path}/out", f"{tmp_path}/state")
     got = {r["user"]: r["first_at"] for r in J.read_updates(spark, f"{tmp_path}/out", ["user"]).collect()}
     assert got == {"u": "2024-01-03", "w": "2024-01-09"}
+
+
+def test_compaction_changes_nothing(spark, tmp_path):
+    batch, _ = feed(spark, str(tmp_path))
+    keys, out = ["strap", "permit_num", "permit_type"], f"{tmp_path}/out"
+    stream = lambda: J.file_stream(spark, f"{tmp_path}/in/*", batch.schema, files_per_trigger=1)
+    J.permit_feed(stream(), "version", out, f"{tmp_path}/state")
+    before = sorted(map(tuple, J.read_upserts(spark, out, keys, "version").collect()), key=repr)
+    last = J.compact(spark, out, keys, ["version"])
+    assert last == 4
+    assert sorted(map(tuple, J.read_upserts(spark, out, keys, "version").collect()), key=repr) == before
+    spark.createDataFrame([("h9", "p9", "re-roof", "fresh", 1.0, 1), ("h1", "p1", "re-roof", "again", 1.0, 9)],
+                          batch.schema).coalesce(1).write.parquet(f"{tmp_path}/in/f9")
+    J.permit_feed(stream(), "version", out, f"{tmp_path}/state")
+    after = {r["permit_num"]: r["description"] for r in J.read_upserts(spark, out, keys, "version").collect()}
+    assert after["p9"] == "fresh" and after["p1"] == "again" and len(after) == 4
+    plan = J.read_upserts(spark, out, keys, "version")._jdf.queryExecution().toString()
+    assert "batch_id" in plan and J.compact(spark, out, keys, ["version"]) == 5
+
+
+def test_rows_later_than_the_watermark_are_left_out(spark, tmp_path):
+    """A row that arrives after its window was closed does not come back."""
+    schema = "ts timestamp_ntz, kind string"
+    for i, day in enumerate(["2024-03-01", "2024-03-20", "2024-01-01", "2024-03-21"]):
+        spark.createDataFrame([(day, "a")], "ts string, kind string").select(F.col("ts").cast("timestamp_ntz"), "kind").coalesce(1).write.parquet(
+            f"{tmp_path}/in/f{i}")
+    stream = J.file_stream(spark, f"{tmp_path}/in/*", schema, files_per_trigger=1)
+    counts = J.rolling_counts(stream, "ts", "kind", 1, 1, 3)
+    J.write_updates(counts, ["start", "kind"], f"{tmp_path}/out", f"{tmp_path}/state")
+    days = sorted(str(r["start"])[:10] for r in J.read_updates(spark, f"{tmp_path}/out", ["start", "kind"]).collect())
+    assert days == ["2024-03-01", "2024-03-20", "2024-03-21"]
