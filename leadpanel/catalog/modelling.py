@@ -43,7 +43,15 @@ BOOST = dict(maxIter=10, maxDepth=4, stepSize=0.1)
 forest, boost = (lambda **more: M.forest(**{**FOREST, **more})), (lambda **more: M.boost(**{**BOOST, **more}))
 
 
-@query("m1_preprocess")
+# Scaled numbers have mean 0 and deviation 1; a level's mean is its share.
+PROFILE = " UNION ALL ".join(
+    [f"SELECT '{n}' AS feature, 0.0e0 AS mean, 1.0e0 AS std" for n in NUMERIC]
+    + [f"""SELECT '{n}=' || level, round(k / n, 6), round(sqrt(k * (n - k) / n / (n - 1)), 6) FROM (SELECT coalesce({n}, 'MISSING') AS level,
+    count(*) * 1.0e0 AS k, (SELECT count(*) * 1.0e0 FROM valid) AS n FROM valid GROUP BY 1)""" for n in TEXT])
+
+
+@query("m1_preprocess", oracle("homes adoptions", PROFILE, g=ADOPTED, valid="""
+SELECT h.heatingdscr, h.county FROM g JOIN homes h USING (strap) WHERE NOT coalesce(g.year >= g.first_year, false)"""))
 def m1(t):
     data, prep = prepared(t)
     return tidy(M.vector_profile(data, prep.names))

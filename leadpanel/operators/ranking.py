@@ -145,7 +145,8 @@ def exact_quantiles(
             F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values
         ])).alias("_cv")
     ).select(*groups, "_cv.column", "_cv.value").where(F.col("value").isNotNull())
-    counted = long.groupBy(*groups, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Pinned: range partitioning reads its input twice, and this one is far smaller than ``df``.
+    counted = pin(long.groupBy(*groups, "column", "value").agg(F.count(F.lit(1)).alias("n")))
     keys = [*groups, "column"]
     cum = add_running_sums(counted, [F.col("value").asc()], ["n"], keys)
     # 0-based ranks first..last share one value; the wanted rank is p * (n - 1).
