@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -75,12 +77,28 @@ def concordance(times: DataFrame, risk: str) -> DataFrame:
         (F.sum(c("ev") * (c("cum_op") - c("op") + c("op") / 2)) / F.sum(c("ev") * c("total_op"))).alias("c_index"))
 
 
-def _tie_sums(a: float, b: float, events: int, chunk: int = 1_000_000) -> tuple[float, float]:
-    r1 = r2 = 0.0
-    for start in range(0, events, chunk):
-        r = 1.0 / (a - np.arange(start, min(events, start + chunk)) / events * b)
-        r1, r2 = r1 + float(r.sum()), r2 + float((r * r).sum())
-    return r1, r2
+def _digamma(x: float) -> tuple[float, float]:
+    """The first and second derivative of log gamma at a positive number."""
+    first = second = 0.0
+    while x < 12:
+        first, second, x = first - 1 / x, second + 1 / x**2, x + 1
+    y = 1 / x**2
+    first += math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y / 240)))
+    return first, second + 1 / x + y / 2 + y / x * (1 / 6 - y * (1 / 30 - y * (1 / 42 - y / 30)))
+
+
+# Up to so many ties the sums are made term by term; beyond, their closed form has no cancellation to fear.
+FEW_TIES = 10_000
+
+
+def _tie_sums(a: float, b: float, events: int) -> tuple[float, float]:
+    """Sums of r and r^2 over r = 1 / (a - i / events * b) for i below ``events``."""
+    if events <= FEW_TIES:
+        r = 1.0 / (a - np.arange(events) / events * b)
+        return float(r.sum()), float((r * r).sum())
+    scale = events / b
+    high, low = _digamma(a * scale + 1), _digamma((a - b) * scale + 1)
+    return scale * (high[0] - low[0]), scale**2 * (low[1] - high[1])
 
 
 def cox_fit(rows: DataFrame, features: list[str], penalty: float = 0.1, steps: int = 25, tolerance: float = 1e-7) -> list[dict]:

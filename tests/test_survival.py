@@ -82,3 +82,12 @@ def test_durations(spark):
     assert sorted((r["strap"], r["duration"], r["event"]) for r in times.collect()) == [("a", 2, 1), ("b", 4, 0), ("c", 1, 1)]
     periods = V.person_periods(panel.drop("adopted"), times)
     assert periods.count() == 3 + 5 + 1 and periods.where("hazard = 1").count() == 2
+
+
+def test_many_ties_have_a_closed_form():
+    import numpy as np
+
+    for a, b, events in ((5.0, 2.0, 20_000), (3.0e6, 2.9e6, 30_000), (7.0, 7.0, 15_000)):
+        r = 1.0 / (a - np.arange(events) / events * b)
+        got = V._tie_sums(a, b, events)
+        assert abs(got[0] / r.sum() - 1) < 1e-9 and abs(got[1] / (r * r).sum() - 1) < 1e-8
