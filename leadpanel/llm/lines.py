@@ -63,11 +63,11 @@ def _document_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def shaped_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
-    """``key, doc_id, n, shape, leaf, whole`` of each line that is long enough."""
+def shaped_lines(docs: DataFrame, tree: Tree = TREE, *more: str) -> DataFrame:
+    """``key, doc_id, n, shape, leaf, whole`` of each line that is long enough, and ``more`` columns of its document."""
     # Shaped before they are exploded, so that what follows reads a column and does not shape again.
     lines = docs.where(F.col("text").isNotNull()).select(
-        _document_key().alias("key"), "doc_id", F.posexplode(shapes(F.col("text"))).alias("n", "shape")
+        _document_key().alias("key"), "doc_id", *more, F.posexplode(shapes(F.col("text"))).alias("n", "shape")
     )
     tokens = F.length("shape") - F.length(F.replace(F.col("shape"), F.lit(" "))) + 1
     return (
@@ -96,7 +96,7 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
 
     whole = pin(_recurring(lines, "whole", tree))
     leaves = (
-        lines.groupBy("leaf", "key").agg(F.count(F.lit(1)).alias("lines"))
+        lines.groupBy("leaf", "key").agg(F.count_distinct("n").alias("lines"))
         .groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.sum("lines").alias("lines"))
         .where(F.col("docs") >= tree.min_docs)
         .select("leaf", F.greatest(F.lit(tree.min_docs), F.ceil(F.col("lines") * tree.share)).alias("support"))
@@ -104,15 +104,16 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     leaves = pin(leaves)
 
     # Only lines that recur by leaf but not word for word can gain from fields; only their documents are shaped again.
-    wanted = pin(
+    wanted = (
         lines.join(leaves.select("leaf"), "leaf", "left_semi")
         .join(whole.select("whole"), "whole", "left_anti")
-        .select("key", "n").distinct()
+        .groupBy("key").agg(F.collect_set("n").alias("wanted"))
     )
-    involved = docs.withColumn("_k", _document_key()).join(wanted.select(F.col("key").alias("_k")), "_k", "left_semi").drop("_k")
+    involved = docs.withColumn("key", _document_key()).join(wanted, "key")
     open_lines = pin(
-        shaped_lines(involved, tree).join(wanted, ["key", "n"])
+        shaped_lines(involved, tree, "wanted").where(F.array_contains("wanted", F.col("n")))
         .select("key", "doc_id", "n", "leaf", F.split("shape", " ").alias("tokens"))
+        .dropDuplicates(["key", "n"])  # rows that repeat
     )
     common = (
         open_lines.select("leaf", F.posexplode("tokens").alias("at", "token"))

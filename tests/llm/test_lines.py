@@ -123,3 +123,11 @@ def test_parameters(spark):
     got = run(spark, rows, tree)
     assert got == brute(rows, tree)
     assert sum(r[3] for r in got) > 0
+
+
+def test_rows_that_repeat_add_nothing_to_a_leaf(spark):
+    """Four documents, each there five times, stay below the ten that a template needs."""
+    rows = [(at, f"alpha beta {'wxyz'[at]} gamma delta epsilon zeta eta theta iota") for at in range(4)] * 5
+    rows += [(100 + at, f"alpha beta {' '.join(chr(97 + at) * (i + 1) for i in range(8))}") for at in range(12)]
+    got = run(spark, rows)
+    assert got == brute(rows) and sum(r[3] for r in got) == 0
