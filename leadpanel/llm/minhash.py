@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from leadpanel.llm.components import components
+from leadpanel.llm.tokens import WordNumbers, hold
 from leadpanel.operators.ranking import add_position
 from leadpanel.session import pin
 
@@ -40,7 +41,6 @@ SEED = 20170
 
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _SHIFT = np.uint64(33)
-_WORDS_KEPT = 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,17 +50,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _SHIFT)
 
 
-class _Words(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _Words()
+_words = WordNumbers(xxhash.xxh3_64_intdigest)
 
 
 def shingles(text: bytes, size: int) -> np.ndarray:
@@ -123,6 +113,7 @@ def sketch_documents(docs: DataFrame, shingle: int, bands: int = BANDS, rows: in
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("minhash", _words.clear)
         for batch in batches:
             sizes, hashes, keys = [], [], []
             for text in batch.column("text").cast(pa.binary()):
@@ -171,6 +162,7 @@ def _hub_links(buckets: DataFrame, texts: DataFrame, shingle: int, percent: int)
     pairs = buckets.where((F.col("cid") != F.col("hub.cid")) & fits).select(F.col("hub.cid").alias("a"), F.col("cid").alias("b")).distinct()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("minhash", _words.clear)
         last: tuple = (None, None, None)
         for batch in batches:
             columns = {name: batch.column(name) for name in ("set_a", "set_b")}
@@ -252,6 +244,7 @@ def _tile_links(buckets: DataFrame, texts: DataFrame, parts: DataFrame, shingle:
     )
 
     def compare(table: pa.Table) -> pa.Table:
+        hold("minhash", _words.clear)
         component, rep, hashes = (table.column(c).to_pylist() for c in ("component", "rep", "set_hash"))
         sets = [shingles(text.as_py() or b"", shingle) for text in table.column("text").cast(pa.binary())]
         for at, (found, asked) in enumerate(zip(sets, hashes)):
@@ -305,7 +298,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
 ORACLE = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS w
+           'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leadpanel.llm.tokens import UnitEncoder, flatten
+from leadpanel.llm.tokens import UnitEncoder, flatten, hold
 from leadpanel.operators.ranking import add_position
 from leadpanel.session import pin
 
@@ -106,6 +106,7 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TO
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_file)
+        hold("packing", encoder.forget)
         for batch in batches:
             names, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             rows, start, length, crc, tokens, ids = [], [], [], [], [], []

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from leadpanel.llm.tokens import WordNumbers, hold
 from leadpanel.session import pin
 
 #: Labelled rows per label in the fitted sample.
@@ -36,7 +37,6 @@ WORD_BINS, CLASS_BINS, REPEAT_BINS = 1 << 14, 1 << 15, 16
 TERMS = WORD_BINS + CLASS_BINS + REPEAT_BINS
 
 _BLOCK = 256
-_WORDS_KEPT = 1_000_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -53,17 +53,7 @@ def _byte_classes() -> np.ndarray:
 _CLASSES = _byte_classes()
 
 
-class _Bins(dict):
-    """Bins of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word) % WORD_BINS
-        return found
-
-
-_bins = _Bins()
+_bins = WordNumbers(lambda word: xxhash.xxh3_64_intdigest(word) % WORD_BINS)
 
 
 def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -85,6 +75,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, and the number of documents; the terms are bounded by ``TERMS``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("quality", _bins.clear)
         seen, rows = np.zeros(TERMS + 1, np.int64), 0
         for batch in batches:
             for text in batch.column("text").cast(pa.binary()):
@@ -197,6 +188,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     rows = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("quality", _bins.clear)
         own = shared.value
         for batch in batches:
             texts, scores = batch.column("row").field("text").cast(pa.binary()), []

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from leadpanel.llm.tokens import UnitEncoder, flatten
+from leadpanel.llm.tokens import UnitEncoder, flatten, hold
 
 MARK = "▁"
 #: Threads a task's encoder uses.
@@ -231,6 +231,7 @@ def encode_documents(docs: DataFrame, model_file: str, with_ids: bool = True) ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_file)
+        hold("sentencepiece", own.units.forget)
         for batch in batches:
             for low in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(low, _ROWS)

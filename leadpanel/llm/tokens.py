@@ -8,12 +8,12 @@ once per Python worker and a text's ids are gathered with numpy.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-#: Distinct units a worker remembers before it starts anew; bounds its memory, not the result.
-UNITS_KEPT = 1_400_000
+#: Distinct units a worker remembers before it forgets the later half; bounds its memory, not the result.
+UNITS_KEPT = 800_000
 #: Characters that are split into units at a time.
 CHUNK_CHARS = 2_000_000
 
@@ -24,6 +24,31 @@ def flatten(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
 
+#: What this Python worker remembers for one operator, and how to forget it.
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, forget: Callable[[], None]) -> None:
+    """Called as a task starts: what other operators left in this reused worker is forgotten, so memories do not add up."""
+    for other in [name for name in _held if name != owner]:
+        _held.pop(other)()
+    _held[owner] = forget
+
+
+class WordNumbers(dict):
+    """A number per word, made on first use; forgets all when it is full."""
+
+    def __init__(self, make: Callable[[bytes], int], limit: int = 400_000):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = value = self.make(word)
+        return value
+
+
 class _Numbers(dict):
     """Gives each new key the next number and notes it."""
 
@@ -42,10 +67,10 @@ class UnitEncoder:
 
     def __init__(self, split: Callable[[str], list], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
                  units_kept: int = UNITS_KEPT):
-        self.split, self.encode, self.units_kept = split, encode, units_kept
-        self._forget()
+        self.split, self.encode, self.units_kept, self.chunk_chars = split, encode, units_kept, CHUNK_CHARS
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.index = _Numbers()
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
@@ -62,6 +87,14 @@ class UnitEncoder:
         self.ids[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
 
+    def _forget_later_half(self) -> None:
+        """What was met first is what is met most."""
+        keep = self.units_kept // 2
+        kept = _Numbers()
+        kept.update(islice(self.index.items(), keep))
+        self.index = kept
+        self.used = int(self.starts[keep - 1] + self.sizes[keep - 1]) if keep else 0
+
     def texts(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
         waiting: list[str] = []
@@ -69,7 +102,7 @@ class UnitEncoder:
         for text in texts:
             waiting.append(text)
             chars += len(text)
-            if chars >= CHUNK_CHARS:
+            if chars >= self.chunk_chars:
                 yield from self._chunk(waiting)
                 waiting, chars = [], 0
         yield from self._chunk(waiting)
@@ -77,7 +110,7 @@ class UnitEncoder:
     def _chunk(self, texts: list[str]) -> Iterator[np.ndarray]:
         units = [self.split(text) for text in texts]
         if len(self.index) > self.units_kept:
-            self._forget()
+            self._forget_later_half()
         counts = list(map(len, units))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(units)), np.int64, sum(counts))
         if self.index.new:

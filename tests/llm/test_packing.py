@@ -71,7 +71,8 @@ def test_forgetting_units_changes_nothing(tokenizer):
     from leadpanel.llm.tokens import UnitEncoder
 
     whole = packing._encoder(FILE)
-    forgetful = UnitEncoder(whole.split, whole.encode, units_kept=2)
+    forgetful = UnitEncoder(whole.split, whole.encode, units_kept=6)
+    forgetful.chunk_chars = 40
     texts = [f"one two three {i} " * 3 for i in range(50)]
     for _ in range(2):
         assert [x.tolist() for x in forgetful.texts(texts)] == [x.tolist() for x in whole.texts(texts)]
@@ -88,3 +89,16 @@ def test_written_buckets_read_back(spark, tmp_path):
 def test_max_tokens_is_a_power_of_two(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([], SCHEMA), FILE, max_tokens=1000)
+
+
+def test_operators_do_not_add_up_their_memories():
+    from leadpanel.llm import tokens
+
+    left, right = tokens.WordNumbers(len), tokens.WordNumbers(len, limit=2)
+    tokens.hold("left", left.clear)
+    assert left[b"abc"] == 3 and left
+    tokens.hold("left", left.clear)
+    assert left
+    tokens.hold("right", right.clear)
+    assert not left and [right[w] for w in (b"a", b"bb", b"ccc", b"a")] == [1, 2, 3, 1] and len(right) <= 2
+    tokens.hold("none", dict().clear)
