@@ -628,7 +628,14 @@ def interaction_screen(job: Job, pairs: Sequence[tuple[str, str]], kinds: Sequen
 
 
 def coefficient_report(data: DataFrame, label: str, names: Sequence[str]) -> DataFrame:
-    """Log-odds, p-value, odds ratio and percent change per feature."""
+    """Log-odds, p-value, odds ratio and percent change per feature.
+
+    The most common level of each text column is the base of its other levels; without
+    a base the levels of a column add up to the intercept and have no p-values.
+    """
+    columns = [n.split("=")[0] if "=" in n else None for n in names]
+    use = [i for i, n in enumerate(columns) if n is None or n in columns[:i]]
+    data, names = slice_features(data, use), [names[i] for i in use]
     fit = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features", labelCol=label, maxIter=50, regParam=0.0).fit(data)
     found = [(n, float(w), float(p), math.exp(w), 100 * (math.exp(w) - 1), bool(p < 0.05))
              for n, w, p in zip(names, fit.coefficients.toArray(), fit.summary.pValues)]
