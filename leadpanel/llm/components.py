@@ -12,23 +12,32 @@ from pyspark.sql import DataFrame, functions as F
 from leadpanel.session import pin
 
 
-def _to_smallest(links: DataFrame) -> DataFrame:
+#: Links one task handles; a step never has more tasks than that takes, so that few links make few files.
+LINKS_PER_TASK = 200_000
+
+
+def _sized(df: DataFrame, links: int) -> DataFrame:
+    return df.coalesce(max(1, -(-links // LINKS_PER_TASK)))
+
+
+def _to_smallest(links: DataFrame, size: int) -> DataFrame:
     """Links ``(a, b)``, each with ``least``: the smallest of ``a`` and all its ``b``."""
     least = links.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("least"))
-    return links.join(least, "a")
+    return _sized(links.join(_sized(least, size), "a"), size)
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, size: int) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return _to_smallest(both).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    star = _to_smallest(both, 2 * size).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return _sized(star.distinct(), size)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, size: int) -> DataFrame:
     """``links`` lead from the larger to the smaller vertex."""
-    star = _to_smallest(links)
+    star = _to_smallest(links, size)
     others = star.select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = star.select("a", F.col("least").alias("b"))
-    return others.unionByName(own).where("a <> b").distinct()
+    return _sized(others.unionByName(own).where("a <> b").distinct(), size)
 
 
 def _state(links: DataFrame) -> tuple:
@@ -47,7 +56,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     )
     state = _state(links)
     while True:
-        links = pin(_small_star(_large_star(links)))
+        size = state[0]
+        links = pin(_small_star(_large_star(_sized(links, size), size), size))
         now = _state(links)
         if now == state:
             break
