@@ -3,14 +3,18 @@
 Vectors that are equal are one class. In each pass a class gets the signs of
 its products with random directions as one number; classes are sorted by it,
 and each is compared with the ``window`` next ones. Verified pairs of all
-passes are united. Inside each component found that way, all pairs are then
-compared in blocks, so the number of links of a vector is whole even where
-more vectors are alike than a window holds.
+passes are united. Classes that share the leading signs of a pass are a range;
+where a range holds more classes than a window and still several components,
+its classes are compared across components in blocks. Inside each component
+found that way, all pairs are then compared in blocks, so the number of links
+of a vector is whole even where more vectors are alike than a window holds.
 
-The number of passes follows from the number of classes: a pass finds a pair at
-the threshold if their signs agree in as many leading bits as it takes to part
-the classes into windows, and passes are added until the chance that all miss
-it is below ``miss``.
+The number of passes follows from the number of classes: it takes some leading
+bits to part evenly spread classes into windows, a pass finds every pair that
+agrees in them, and passes are added until the chance that all miss a pair at
+the threshold is below ``miss``. Vectors that lie close to each other fill
+ranges beyond a window, so this holds for them, too; a label whose full ranges
+take as many comparisons as the label itself is compared as one range.
 
 Cases: only vectors with equal labels and equal lengths are compared; null
 labels, null ids, null or zero vectors, and vectors with null or non-finite
@@ -49,6 +53,11 @@ def passes_for(classes: int, threshold: float, window: int = WINDOW, miss: float
     return 1 if found >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-found)))
 
 
+def range_bits(classes: int, window: int = WINDOW) -> int:
+    """Leading bits whose ranges are compared whole, no more than ``passes_for`` counts on."""
+    return min(BITS, max(0, math.floor(math.log2(max(classes, 1) / window))))
+
+
 def _unit_rows(column: pa.ListArray, dim: int) -> np.ndarray:
     rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
@@ -66,7 +75,7 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
 
 
 def projected(classes: DataFrame, passes: int) -> DataFrame:
-    """Each class once per pass, with that pass's ``key``: its signs along random directions, as one number."""
+    """Each class once per pass, with its ``dim`` and that pass's ``key``: its signs along random directions, as one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
@@ -89,14 +98,13 @@ def projected(classes: DataFrame, passes: int) -> DataFrame:
     keyed = classes.select("cid", "label", "embedding").mapInArrow(
         run, f"cid bigint, label {label}, embedding {classes.schema['embedding'].dataType.simpleString()}, keys array<bigint>"
     )
-    return keyed.select("cid", "label", "embedding", F.posexplode("keys").alias("pass", "key"))
+    return keyed.select("cid", "label", "embedding", F.size("embedding").alias("dim"), F.posexplode("keys").alias("pass", "key"))
 
 
 def window_links(keyed: DataFrame, threshold: float, window: int = WINDOW) -> DataFrame:
     """``a, b``: links that join the classes which verified pairs of a pass connect, one per class and run at most."""
-    keyed = keyed.withColumn("dim", F.size("embedding"))
     placed = add_position(
-        pin(keyed), [F.col(c) for c in ("pass", "label", "dim", "key", "cid")], position="place", total="all_places"
+        keyed, [F.col(c) for c in ("pass", "label", "dim", "key", "cid")], position="place", total="all_places"
     ).withColumn("place", F.col("place") - 1)
     # The first rows of a run also end the run before it.
     run = F.expr(f"cast(place div {RUN} as bigint)")
@@ -129,6 +137,67 @@ def window_links(keyed: DataFrame, threshold: float, window: int = WINDOW) -> Da
     return rows.groupBy("run").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def range_links(keyed: DataFrame, classes: DataFrame, parts: DataFrame, bits: int, threshold: float, window: int = WINDOW) -> DataFrame:
+    """``a, b``: links between classes of a range that its windows do not cover and ``parts`` (``node, component``) leaves apart.
+
+    A range is the classes of a label and length that agree in ``bits`` leading
+    signs of a pass. Its classes are put in order of their component and cut
+    into blocks; two blocks meet in one task unless both lie in one component.
+    """
+    group = ["pass", "label", "dim", "head"]
+    heads = keyed.select("pass", "label", "dim", F.shiftright("key", BITS - bits).alias("head"), "cid")
+    members = heads.join(parts.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
+        "component", F.coalesce("component", "cid"))
+    one = members.where("pass = 0").withColumn("pass", F.lit(-1)).withColumn("head", F.lit(0).cast("long"))  # the label as one range
+    members = pin(members.unionByName(one))
+    apart = (
+        members.groupBy(*group, "component").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*group).agg(F.sum("n").alias("size"), F.sum(F.col("n").cast("double") * F.col("n")).alias("same"))
+        .withColumn("pairs", F.col("size").cast("double") * F.col("size") - F.col("same"))
+    )
+    full = pin(apart.where((F.col("size") > window + 1) & (F.col("pairs") > 0)))
+    # Passes or the whole label, whichever takes fewer comparisons.
+    ways = full.groupBy("label", "dim").agg(
+        F.sum(F.when(F.col("pass") >= 0, F.col("pairs")).otherwise(0)).alias("passes"),
+        F.max(F.when(F.col("pass") < 0, F.col("pairs"))).alias("all"),
+    ).select("label", "dim", (F.col("passes") >= F.col("all")).alias("whole"))
+    ranges = full.join(ways, ["label", "dim"]).where((F.col("pass") < 0) == F.col("whole")).select(*group)
+
+    placed = pin(add_position(
+        pin(members.join(ranges, group, "left_semi")), [F.col("component"), F.col("cid")], group, position="place", total="size"
+    ).select(*group, "cid", "component", F.expr(f"cast((place - 1) div {BLOCK} as int)").alias("block")))
+    blocks = placed.groupBy(*group, "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    i, j = (blocks.select(*group, *[F.col(c).alias(f"{c}_{n}") for c in ("block", "low", "high")]) for n in "ij")
+    mixed = (F.col("low_i") != F.col("high_i")) | (F.col("low_j") != F.col("high_j")) | (F.col("low_i") != F.col("low_j"))
+    tiles = i.join(j, group).where((F.col("block_i") <= F.col("block_j")) & mixed).select(*group, "block_i", "block_j")
+    sides = F.array_distinct(F.array("block_i", "block_j"))
+    rows = (
+        tiles.withColumn("block", F.explode(sides)).join(placed, [*group, "block"])
+        .join(classes.select("cid", "embedding"), "cid")
+        .select(*group, "block_i", "block_j", "block", "cid", "component", "embedding")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        cid, component, block = (table.column(c).to_numpy() for c in ("cid", "component", "block"))
+        column = table.column("embedding").chunk(0)
+        unit = _unit_rows(column, len(column[0]))
+        first, second = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        close = unit[first] @ unit[second].T >= threshold
+        close &= component[first][:, None] != component[second][None, :]
+        own = np.unique(component, return_inverse=True)[1]
+        a, b = [], []
+        for x, y in np.argwhere(close):
+            x, y = first[x], second[y]
+            if own[x] != own[y]:
+                a.append(cid[x])
+                b.append(cid[y])
+                own[own == own[y]] = own[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy(*group, "block_i", "block_j").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def link_counts(classes: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
     """``cid, linked``: vectors of other classes within each component that are close enough, all pairs compared in blocks."""
     members = classes.join(parts.select(F.col("node").alias("cid"), "component"), "cid").select(
@@ -169,8 +238,11 @@ def near_vectors(vectors: DataFrame, threshold: float, window: int = WINDOW) ->
     """``vec_id, n_links, component_id, kept`` per vector; the smallest id of a component stays."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     classes = pin(vector_classes(vectors).withColumn("cid", F.monotonically_increasing_id()))
-    keyed = projected(classes, passes_for(classes.count(), threshold, window))
-    parts = pin(components(window_links(keyed, threshold, window)))
+    number = classes.count()
+    keyed = pin(projected(classes, passes_for(number, threshold, window)))
+    near = pin(window_links(keyed, threshold, window))
+    rest = range_links(keyed, classes, pin(components(near)), range_bits(number, window), threshold, window)
+    parts = pin(components(near.unionByName(rest)))
     linked = link_counts(classes, parts, threshold)
 
     known = pin(classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").join(linked, "cid", "left").select(

@@ -81,3 +81,36 @@ def test_empty_and_lonely(spark):
 def test_more_vectors_need_more_passes():
     assert vectors.passes_for(10, 0.93) == 1
     assert vectors.passes_for(5_000, 0.93) < vectors.passes_for(5_000_000, 0.93)
+
+
+def pair_rows(rng, base, singles, pairs, dense, cosine=0.935, dim=64):
+    """Vectors whose cosine to each other is about ``base``, each pair at ``cosine``; ``dense`` more close to one centre."""
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def off(x):
+        y = rng.standard_normal(x.shape)
+        return unit(y - (x * y).sum(-1, keepdims=True) * x)
+
+    centre = unit(rng.standard_normal(dim))
+    every = unit(np.sqrt(base) * centre + np.sqrt(1 - base) * off(np.tile(centre, (singles + pairs, 1))))
+    mates = cosine * every[:pairs] + np.sqrt(1 - cosine ** 2) * off(every[:pairs])
+    hot = 0.985 * centre + np.sqrt(1 - 0.985 ** 2) * off(np.tile(centre, (dense, 1)))
+    return [(at, [float(np.float32(x)) for x in v], 0, None, None) for at, v in enumerate(np.vstack([every, mates, hot]))]
+
+
+@pytest.mark.parametrize("base, dense", [(0.0, 0), (0.8, 0), (0.85, 0), (0.75, 700)])
+def test_pairs_among_vectors_that_lie_close_are_found(spark, base, dense):
+    rows = pair_rows(np.random.default_rng(7), base, 1400, 150, dense)
+    got, expected = run(spark, rows, window=4), brute(rows, 0.93)
+    assert sum(r[1] > 0 for r in expected) >= 300
+    missed = sum(a != b for a, b in zip(got, expected))
+    assert missed <= 0.005 * sum(r[1] > 0 for r in expected)
+
+
+def test_full_ranges_are_compared_by_pass_where_that_is_less(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    rows = pair_rows(rng, 0.85, 60, 20, 0)
+    rows += [(1000 + at, [float(x) for x in rng.standard_normal(64).astype(np.float32)], 0, None, None) for at in range(1500)]
+    assert run(spark, rows, window=4) == brute(rows, 0.93)
