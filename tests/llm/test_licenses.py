@@ -100,3 +100,38 @@ def test_paths_of_documents(spark):
     docs = spark.createDataFrame([(0, "t", "s"), (None, "t", "s"), (5, None, None)], "doc_id bigint, text string, source string")
     paths = {r["doc_id"]: r["path"] for r in licenses.with_paths(docs).collect()}
     assert paths == {0: "s/LICENSE-0", None: None, 5: "d1/d0/5.txt"}
+
+
+GNU = ("This {what} is free software{mark} you can redistribute it and/or modify\nit under the terms of the GNU {kind}General Public License "
+       "as published by\nthe Free Software Foundation{mark2} either version {version} of the License, or\n(at your option) any later version.\n")
+BSD = ("Copyright (c) 2020, A. Person\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided "
+       "that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of "
+       "conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of "
+       "conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n")
+CLAUSE = ("3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+          "   this software without specific prior written permission.\n\n")
+END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS\nAND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.\n"
+PROSE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
+
+
+def gnu(kind, version, what="program", mark=";", mark2=";"):
+    return GNU.format(kind=kind, version=version, what=what, mark=mark, mark2=mark2)
+
+
+@pytest.mark.parametrize("text, name, line", [
+    (gnu("", "2"), "GPL-2.0", 0), (gnu("", "3", mark=":", mark2=","), "GPL-3.0", 0), (gnu("Affero ", "3", mark=":", mark2=","), "AGPL-3.0", 0),
+    (gnu("Lesser ", "2.1", "library"), "LGPL-2.1", 0), (gnu("Lesser ", "3"), "LGPL-3.0", 0), (gnu("", "1"), "GPL-1.0", 0),
+    (BSD + END, "BSD-2-Clause", None), (BSD + CLAUSE + END, "BSD-3-Clause", None),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software "
+     "Foundation, Inc.\n 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA\n", "GPL-2.0", 0),
+    ("# SPDX-License-Identifier: MIT\nimport os", "MIT", 0), ("a\n/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */", "(GPL-2.0-only OR MIT)", 1),
+    ("first\n" + PROSE + "Licensed under the MIT License. " + PROSE, "MIT", 1), (PROSE + "and it is licensed under CC BY-SA 3.0 as " + PROSE, "CC-BY-SA-3.0", 0),
+    ("x\nCopyright 2020 by " + PROSE + "Inc. All rights reserved. " + PROSE, "LicenseRef-proprietary", 1),
+    ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0", 0),
+])
+def test_headers_texts_tags_and_sentences(spark, text, name, line):
+    rows = [(0, "p0/f", text)] + [(at, f"p{at}/f", f"plain file of some words number {at}") for at in range(1, 40)]
+    got, _ = scan(spark, rows)
+    assert got[0, "p0/f"]["license"] == name
+    assert line is None or got[0, "p0/f"]["line"] == line
+    assert sum(r["license"] is not None for r in got.values()) == 1
