@@ -5,7 +5,9 @@ goes down the tree by its token count and its leading tokens. In a leaf, a
 token that enough lines share at its position belongs to a template, every
 other token is a variable field. A template with few variable fields that
 recurs in enough documents is dropped everywhere but at its first place (the
-smallest document id, then the first line). A line that recurs word for word
+smallest document id, then the first line). In a leaf of many lines, what is
+left is tried again with ``min_docs`` lines as enough, so that a template does
+not get lost because its leaf is large. A line that recurs word for word
 is its own template. All of it is counts and joins, so no leaf is ever
 gathered, and the result does not depend on the order of rows.
 
@@ -90,6 +92,19 @@ def _recurring(lines: DataFrame, template: str, tree: Tree) -> DataFrame:
     )
 
 
+def _general_by_count(open_lines: DataFrame, tree: Tree) -> DataFrame:
+    """``key, doc_id, n, template`` where a token is fixed that ``min_docs`` lines share; joined, as a leaf may have many such tokens."""
+    tokens = open_lines.select("key", "doc_id", "n", "leaf", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
+    tokens = tokens.where(F.col("token") != FIELD)
+    common = tokens.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") >= tree.min_docs)
+    fixed = (
+        tokens.join(common, ["leaf", "at", "token"], "left_semi")
+        .groupBy("key", "doc_id", "n", "leaf", "size").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("fixed"))
+        .where(F.size("fixed") >= tree.similarity * F.col("size"))
+    )
+    return fixed.select("key", "doc_id", "n", F.xxhash64("leaf", "fixed").alias("template"))
+
+
 def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     """``key, n`` of every line that is a repetition of a recurring template."""
     lines = pin(shaped_lines(docs, tree).drop("shape"))
@@ -102,6 +117,7 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
         .select("leaf", F.greatest(F.lit(tree.min_docs), F.ceil(F.col("lines") * tree.share)).alias("support"))
     )
     leaves = pin(leaves)
+    large = leaves.where(F.col("support") > tree.min_docs).select("leaf")
 
     # Only lines that recur by leaf but not word for word can gain from fields; only their documents are shaped again.
     wanted = (
@@ -131,12 +147,16 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
         .select("key", "doc_id", "n", F.xxhash64("leaf", "template").alias("template"))
     )
     general = pin(general)
-    generalised = _recurring(general, "template", tree)
+    generalised = pin(_recurring(general, "template", tree))
 
+    left = open_lines.join(large, "leaf", "left_semi").join(
+        general.join(generalised, "template", "left_semi").select("key", "n"), ["key", "n"], "left_anti")
+    rare = pin(_general_by_count(left, tree))
     again = (F.col("first.key") != F.col("key")) | (F.col("first.n") != F.col("n"))
     return (
         lines.join(whole, "whole").where(again).select("key", "n")
         .unionByName(general.join(generalised, "template").where(again).select("key", "n"))
+        .unionByName(rare.join(_recurring(rare, "template", tree), "template").where(again).select("key", "n"))
     )
 
 

@@ -131,3 +131,13 @@ def test_rows_that_repeat_add_nothing_to_a_leaf(spark):
     rows += [(100 + at, f"alpha beta {' '.join(chr(97 + at) * (i + 1) for i in range(8))}") for at in range(12)]
     got = run(spark, rows)
     assert got == brute(rows) and sum(r[3] for r in got) == 0
+
+
+def test_templates_of_large_leaves_go(spark):
+    """Variants of one word beside many exact copies; the share of the leaf alone would keep all of them."""
+    line = "alpha beta {} gamma delta epsilon zeta eta theta iota"
+    rows = [(at, line.format("same")) for at in range(1000)]
+    rows += [(2000 + at, line.format(f"{chr(97 + at % 26)}{chr(97 + at // 26)}q")) for at in range(45)]
+    got = {r[0]: r[3] for r in run(spark, rows)}
+    assert sum(got[at] for at in range(1000)) == 999
+    assert sum(got[2000 + at] for at in range(45)) == 44 and got[2000] == 0
