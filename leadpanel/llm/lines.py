@@ -8,7 +8,8 @@ recurs in enough documents is dropped everywhere but at its first place (the
 smallest document id, then the first line). In a leaf of many lines, what is
 left is tried again with ``min_docs`` lines as enough, so that a template does
 not get lost because its leaf is large. A line that recurs word for word
-is its own template. All of it is counts and joins, so no leaf is ever
+is its own template; a line whose tokens all hold digits recurs only with
+equal digits. All of it is counts and joins, so no leaf is ever
 gathered, and the result does not depend on the order of rows.
 
 Cases: null text stays null and has no lines; blank lines and lines below
@@ -53,11 +54,13 @@ def _single_spaces(line: Column) -> Column:
 
 def _masked(plain: Column) -> Column:
     masked = F.regexp_replace(plain, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
-    return F.when(plain.rlike("[0-9]"), masked).otherwise(plain)
+    # A line with a digit in every token, as of a table, would be nothing but fields: it stays as it is.
+    worded = plain.rlike("(?<![^ ])[^ 0-9]++(?![^ ])")
+    return F.when(plain.rlike("[0-9]") & worded, masked).otherwise(plain)
 
 
 def shapes(text: Column) -> Column:
-    """The lines of a text with single spaces and with tokens that hold a digit masked, as an array."""
+    """The lines of a text with single spaces and, unless all tokens hold a digit, with those that do masked, as an array."""
     return F.transform(F.transform(F.split(text, "\n"), _single_spaces), _masked)
 
 

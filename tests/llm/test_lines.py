@@ -141,3 +141,11 @@ def test_templates_of_large_leaves_go(spark):
     got = {r[0]: r[3] for r in run(spark, rows)}
     assert sum(got[at] for at in range(1000)) == 999
     assert sum(got[2000 + at] for at in range(45)) == 44 and got[2000] == 0
+
+
+def test_different_numbers_are_not_one_template(spark):
+    rows = [(at, f"{at} {at * 7}.5 2024-01-{at + 10}\nsome words of {at} alone") for at in range(20)]
+    rows += [(100 + at, f"12 34 {'9' * 5_000}\n{'8 ' * 20_000}") for at in range(12)]
+    got = {r[0]: r for r in run(spark, rows)}
+    assert all(got[at][1].startswith(f"{at} {at * 7}.5") for at in range(20))
+    assert got[100][3] == 0 and all(got[100 + at][3] == 2 for at in range(1, 12))
