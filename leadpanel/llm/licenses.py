@@ -343,7 +343,7 @@ def own_statements(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMP
 
 
 def _parent(path):
-    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", ""))
+    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), "")
 
 
 def directory_licences(statements: DataFrame) -> DataFrame:
@@ -355,7 +355,7 @@ def directory_licences(statements: DataFrame) -> DataFrame:
     folders = statements.select(_parent(F.col("path")).alias("folder")).where("folder is not null").distinct()
     parts = F.split("folder", "/")
     climbs = folders.select("folder", F.posexplode(
-        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+        F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
     ).alias("depth", "above"))
     return (
         climbs.join(stated, "above").groupBy("folder").agg(F.max(F.struct("depth", "best")).alias("nearest"))

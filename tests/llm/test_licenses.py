@@ -135,3 +135,11 @@ def test_headers_texts_tags_and_sentences(spark, text, name, line):
     assert got[0, "p0/f"]["license"] == name
     assert line is None or got[0, "p0/f"]["line"] == line
     assert sum(r["license"] is not None for r in got.values()) == 1
+
+
+def test_licence_at_the_root_is_inherited(spark):
+    rows = [(1, "LICENSE", "Released under the MIT License."), (2, "a.py", "text"), (3, "src/b/a.py", "text"), (4, None, "text"),
+            (5, "gpl/COPYING", "This work is licensed under the GNU General Public License, version 3."), (6, "gpl/a.py", "text")]
+    got, _ = scan(spark, rows)
+    assert {key[0]: (r["license"], r["license_file"]) for key, r in got.items()} == {
+        1: ("MIT", None), 2: ("MIT", "LICENSE"), 3: ("MIT", "LICENSE"), 4: (None, None), 5: ("GPL-3.0", None), 6: ("GPL-3.0", "gpl/COPYING")}
