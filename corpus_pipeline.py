@@ -32,7 +32,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repetitions of recurring lines."""
     found = lines.drop_recurring_lines(docs)
-    left = found.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    left = found.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -76,3 +76,9 @@ def test_runs_end_to_end(spark):
 
 def test_stages_are_named_functions():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "packing"]
+
+
+def test_copies_with_only_blank_lines_left_go(spark):
+    rows = [(at, "One footer on every page\n\n \t\n\n") for at in range(12)] + [(100, "\n\n"), (101, None)]
+    left = corpus_pipeline.drop_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 100, 101]
