@@ -231,10 +231,6 @@ def x12(t):
     ))
 
 
-def roofs(t):
-    return W.roofs_from_segments(t.segments)
-
-
 TOP = """SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY original_index) AS n,
   row_number() OVER (PARTITION BY original_index ORDER BY area DESC, idx, tie) AS rn FROM segments)"""
 
@@ -254,22 +250,14 @@ SELECT t.original_index, coalesce(max(inclusive), '') AS inclusive, coalesce(max
 FROM top t LEFT JOIN (SELECT original_index, {_labels("band = '{b}'")} AS inclusive, {_labels("band = '{b}' AND area >= 30")} AS large
   FROM bands GROUP BY 1) b ON b.original_index = t.original_index GROUP BY 1""", top=TOP, bands=BANDS))
 def x13(t):
-    s = c("segments")
-    return roofs(t).select(
-        "original_index", R.orientations_inclusive(s).alias("inclusive"),
-        R.orientations_inclusive(s, R.MIN_AREA).alias("large"), R.orientations_exclusive(s).alias("exclusive"),
-    )
+    return W.roof_profiles(t.segments).select("original_index", "inclusive", "large", "exclusive")
 
 
 @query("x14_segment_totals", oracle("segments", """
 SELECT t.original_index, count(b.band) AS n_matching, round(coalesce(sum(b.area), 0), 2) AS area_sum, round(coalesce(max(b.area), 0), 2) AS area_max
 FROM (SELECT DISTINCT original_index FROM segments) t LEFT JOIN bands b ON b.original_index = t.original_index GROUP BY 1""", top=TOP, bands=BANDS))
 def x14(t):
-    m = R.matching(c("segments"))
-    return tidy(roofs(t).select(
-        "original_index", F.size(m).alias("n_matching"), F.round(R.area_sum(m), 2).alias("area_sum"),
-        F.round(R.area_max(m), 2).alias("area_max"),
-    ))
+    return tidy(W.roof_profiles(t.segments).select("original_index", "n_matching", "area_sum", "area_max"))
 
 
 SOLAR_SCORE = """SELECT t.original_index, round(CASE WHEN count(b.band) = 0 THEN 10.0e0 ELSE max((b.avg_sun / 1800.0e0 * 100
@@ -280,7 +268,7 @@ FROM (SELECT DISTINCT original_index FROM segments) t LEFT JOIN bands b ON b.ori
 
 @query("x15_solar_score", oracle("segments", SOLAR_SCORE, top=TOP, bands=BANDS))
 def x15(t):
-    return tidy(roofs(t).select("original_index", R.solar_score(c("segments"), c("segment_count")).alias("solar_score")), 2)
+    return tidy(W.solar_scores(t.segments), 2)
 
 
 ROOF_SCORE = """SELECT original_index, CASE WHEN count(w) = 0 THEN 10.0e0 ELSE round(greatest(10.0e0, least(100.0e0,
@@ -291,15 +279,14 @@ FROM (SELECT *, CASE WHEN azimuth BETWEEN 80 AND 280 AND avg_sun IS NOT NULL THE
 
 @query("x16_roof_score", oracle("segments", ROOF_SCORE, top=TOP))
 def x16(t):
-    return tidy(roofs(t).select("original_index", R.roof_score(c("segments")).alias("roof_score")), 2)
+    return tidy(W.roof_profiles(t.segments).select("original_index", "roof_score"), 2)
 
 
 @query("x17_rescale", oracle("segments", """
 SELECT original_index, round(solar_score / (SELECT max(solar_score) FROM sc) * 100, 6) AS solar_score FROM sc""",
     top=TOP, bands=BANDS, sc=SOLAR_SCORE))
 def x17(t):
-    scored = roofs(t).select("original_index", R.solar_score(c("segments"), c("segment_count")).alias("solar_score"))
-    return tidy(W.rescale_to_max(scored, "solar_score"))
+    return tidy(W.rescale_to_max(W.solar_scores(t.segments), "solar_score"))
 
 
 HYBRID = """CASE WHEN model_score IS NOT NULL AND roof_score IS NOT NULL THEN round(0.6e0 * model_score + 0.4e0 * roof_score{d})

@@ -1,10 +1,10 @@
 from pyspark.sql import functions as F
 
-from leadpanel.catalog.expressions import BANDS, HYBRID, OWNER_1, ROOF_SCORE, SOLAR_SCORE, TOP, _expected, roofs
+from leadpanel.catalog.expressions import BANDS, HYBRID, OWNER_1, ROOF_SCORE, SOLAR_SCORE, TOP, _expected
 from leadpanel.catalog.registry import oracle, query
 from leadpanel.catalog.sql_parts import EXPLODED, FLAGGED, TYPED
 from leadpanel.catalog.tidy import tidy
-from leadpanel.functions import roof as RF
+from leadpanel.operators import features as W
 from leadpanel.operators import permits as P
 from leadpanel.operators import topk as K
 from leadpanel.plans import serve as S
@@ -115,7 +115,7 @@ LEFT JOIN (SELECT h2.strap, h2.lat, h2.lon, rs.roof_score FROM homes h2 JOIN rs
     top=TOP, rs=ROOF_SCORE))
 def q7(t):
     scores = t.home_scores.select(c("home_index").alias("strap"), "model_score")
-    made = roofs(t).select("original_index", RF.roof_score(c("segments")).alias("roof_score"))
+    made = W.roof_profiles(t.segments).select("original_index", "roof_score")
     roof = t.homes.select("strap", "lat", "lon", "original_index").join(made, "original_index").drop("original_index")
     return tidy(S.ranked_table(t.homes.select("strap", "lat", "lon"), scores, roof).select("strap", "model_score", "roof_score"))
 
@@ -127,7 +127,7 @@ SELECT home_index, r.roof_score, m.model_score, 'v1' AS model_version FROM
   FROM homes WHERE saleprice IS NOT NULL) m USING (home_index)""", top=TOP, rs=ROOF_SCORE))
 def q8(t):
     bridge = t.homes.select(F.concat(F.lit("H_"), "strap").alias("home_index"), "strap", "original_index")
-    roof = roofs(t).select("original_index", RF.roof_score(c("segments")).alias("roof_score"))
+    roof = W.roof_profiles(t.segments).select("original_index", "roof_score")
     model = t.homes.select("strap", c("saleprice").alias("gb_score"))
     return tidy(S.publish_scores(bridge, roof, model, "gb_score", "v1"))
 
@@ -140,6 +140,5 @@ SELECT original_index, "index", address, city, building_sqft, count_rooms, round
  FROM homes h LEFT JOIN sc ON sc.original_index = h.original_index WHERE result_manual_check IS DISTINCT FROM 'Rejected' AND solar_panels = 'No')""",
     top=TOP, bands=BANDS, sc=SOLAR_SCORE))
 def q9(t):
-    scores = roofs(t).select("original_index", RF.solar_score(c("segments"), c("segment_count")).alias("solar_score"))
-    out = S.delivery(t.homes.drop("address").join(scores, "original_index", "left"))
+    out = S.delivery(t.homes.drop("address").join(W.solar_scores(t.segments), "original_index", "left"))
     return tidy(out.select("original_index", "index", "address", "city", "building_sqft", "count_rooms", "solar_score", "subdivision_formatted"))

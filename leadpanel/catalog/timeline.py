@@ -1,17 +1,16 @@
 from pyspark.sql import functions as F
 
-from leadpanel.catalog.expressions import AGED, ROOF_SCORE, TOP, roofs, sql_distance
+from leadpanel.catalog.expressions import AGED, ROOF_SCORE, TOP, sql_distance
 from leadpanel.catalog.registry import oracle, query
 from leadpanel.catalog.spatial import NEAREST, PAIRS
 from leadpanel.catalog.sql_parts import EXPLODED, FLAGGED, TYPED, number, sale_year, widened
 from leadpanel.catalog.tidy import tidy
 from leadpanel.functions import permit_rules as R
-from leadpanel.functions import roof as RF
+from leadpanel.operators import features as W
 from leadpanel.functions.dates import sale_year as sale_year_of
 from leadpanel.operators import aggs as A
 from leadpanel.operators import permits as P
 from leadpanel.operators import windows as Y
-from leadpanel.operators import features as W
 from leadpanel.operators.ranking import exact_medians
 from leadpanel.plans import panel as PL
 
@@ -294,7 +293,7 @@ def panel_inputs(t, roofs_too=True):
 
     regions = clean_demographics(t.demographics).select(
         "block_fips", "median_household_income", "median_home_value", "median_year_built", "pct_college_educated")
-    scores = roofs(t).select("original_index", RF.roof_score(c("segments")).alias("roof_score"))
+    scores = W.roof_profiles(t.segments).select("original_index", "roof_score")
     return PL.PanelInputs(
         homes=t.homes, permits=classified(t), issue_date="issue_date", year_min=Y0, year_max=Y1, rates=yearly_rates(t),
         prices=A.yearly_price_trend(A.unpivot_months(wide_prices(t), ["description"])), regions=regions,
@@ -372,7 +371,7 @@ def p6(t):
 SELECT strap, round(coalesce(roof_score, (SELECT avg(roof_score) FROM homes JOIN rs USING (original_index))), 4) AS roof_score
 FROM homes LEFT JOIN rs USING (original_index)""", top=TOP, rs=ROOF_SCORE))
 def p7(t):
-    scores = roofs(t).select("original_index", RF.roof_score(c("segments")).alias("roof_score"))
+    scores = W.roof_profiles(t.segments).select("original_index", "roof_score")
     return tidy(PL.with_roof_score(t.homes.select("strap", "original_index"), scores).select("strap", "roof_score"), 4)
 
 

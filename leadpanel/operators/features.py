@@ -12,14 +12,32 @@ c = F.col
 
 
 def roofs_from_segments(segments: DataFrame, key: str = "original_index") -> DataFrame:
-    """Segment rows to one row per roof: the number of its segments and all of them, largest first.
+    """The delivered layout, one row per roof: the number of its segments and the 25 largest of them.
 
-    A roof is one row of output, so its segments must fit in one row.
+    ``row_number() <= 25`` is cut inside each task before the shuffle, so a roof
+    with very many segments never gathers in one task; the count is combined map-side.
     """
-    ordered = F.array_sort(F.collect_list(F.struct((-c("area")).alias("k"), "idx", "tie", "azimuth", "area", "avg_sun")))
-    pick = F.transform("_s", lambda s: F.struct(*[s[n].alias(n) for n in ("azimuth", "area", "avg_sun")]))
-    return segments.groupBy(key).agg(ordered.alias("_s")).select(
-        key, pick.alias("segments"), F.size("_s").cast("bigint").alias("segment_count"))
+    largest = Window.partitionBy(key).orderBy(c("area").desc(), "idx", "tie")
+    top = segments.withColumn("_rn", F.row_number().over(largest)).where(c("_rn") <= R.MAX_SEGMENTS)
+    arrays = top.groupBy(key).agg(F.collect_list(F.struct("azimuth", "area", "avg_sun")).alias("segments"))
+    return arrays.join(segment_counts(segments, key), key)
+
+
+def segment_counts(segments: DataFrame, key: str = "original_index") -> DataFrame:
+    return segments.groupBy(key).agg(F.count(F.lit(1)).alias("segment_count"))
+
+
+def roof_profiles(segments: DataFrame, key: str = "original_index") -> DataFrame:
+    """Facings, totals and the roof score of all segments of a roof, from map-side sums and maxima."""
+    return segments.groupBy(key).agg(*[col.alias(name) for name, col in R.profile(c("azimuth"), c("area"), c("avg_sun")).items()])
+
+
+def solar_scores(segments: DataFrame, key: str = "original_index") -> DataFrame:
+    """Best segment's score per roof, over all its segments; their number is counted first."""
+    sized = segments.join(segment_counts(segments, key), key)
+    best = F.max(R.segment_score(c("azimuth"), c("area"), c("avg_sun"), c("segment_count")))
+    return sized.groupBy(key).agg(best.alias("_best"), F.max(R.faces(c("azimuth"), c("area"))).alias("_faces")).select(
+        key, F.when(c("_faces"), F.round("_best", 2)).otherwise(R.FLOOR).alias("solar_score"))
 
 
 def rescale_to_max(df: DataFrame, score: str) -> DataFrame:

@@ -146,3 +146,23 @@ def test_top_segments_of_a_hot_roof(spark):
     row = W.roofs_from_segments(rows).where("original_index = 0").first()
     assert row["segment_count"] == 1000
     assert sorted(s["area"] for s in row["segments"]) == [float(3 * i) for i in range(975, 1000)]
+
+
+def test_scores_of_segment_rows_are_those_of_segment_arrays(spark):
+    """All 40 segments of a roof count, odd azimuths, areas and nulls among them."""
+    rows = [(roof, i, float(az), area, sun, i) for roof in range(4) for i, (az, area, sun) in enumerate(
+        [(az, 7.0 * i - 3 * roof, 900.0 + 11 * i) for i, az in enumerate(range(0, 360, 10))]
+        + [(140, 30.0, 1500.0), (220, 29.0, None), (180, None, 1400.0), (80, 30.0, 1000.0)])]
+    rows += [(9, 0, None, 10.0, 1.0, 0), (9, 1, 20.0, 10.0, 1.0, 1)]
+    table = spark.createDataFrame(rows, "original_index bigint, idx int, azimuth double, area double, avg_sun double, tie int")
+    arrays = table.groupBy("original_index").agg(F.collect_list(F.struct("azimuth", "area", "avg_sun")).alias("s"))
+    found = R.matching(F.col("s"))
+    want = arrays.select(
+        "original_index", R.orientations_inclusive(F.col("s")).alias("inclusive"),
+        R.orientations_inclusive(F.col("s"), R.MIN_AREA).alias("large"), R.orientations_exclusive(F.col("s")).alias("exclusive"),
+        F.size(found).alias("n_matching"), F.round(R.area_sum(found), 2).alias("area_sum"), F.round(R.area_max(found), 2).alias("area_max"),
+        R.roof_score(F.col("s")).alias("roof_score"), R.solar_score(F.col("s"), F.size("s")).alias("solar_score")).orderBy("original_index")
+    got = W.roof_profiles(table).join(W.solar_scores(table), "original_index").select(*want.columns).orderBy("original_index")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    plan = W.roof_profiles(table)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
