@@ -6,12 +6,14 @@ sequence; sequences of one length form a bucket and have consecutive numbers,
 so a reader draws batches of equal length.
 
 Cases: null text is empty and gives the end id alone; rows that repeat an id
-are packed each on their own; a null id is kept; strings that look like
-control tokens are ordinary text; an empty table gives no rows.
+are packed each on their own; a null id is kept; a control string in a text
+gives its control id, as the library's plain call does, or is ordinary text
+when ``control_tokens`` is false; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -52,28 +54,59 @@ def split_units(text: str) -> list[str | tuple[str]]:
 
 #: Units encoded as one text, with a control token between them.
 _JOINED = 512
+#: Distinct units a worker remembers, and characters it splits at a time: tens of MB.
+UNITS_KEPT, CHUNK_CHARS = 200_000, 500_000
+#: Rows of a batch that are turned into Python strings at a time.
+_ROWS = 256
 
 
-@lru_cache(maxsize=2)
-def _encoder(tokenizer_file: str) -> UnitEncoder:
-    """Units are encoded many at a time: the vocabulary's control token parts them and is an id of its own."""
+def splits_before_spaces(tokenizer_file: str) -> bool:
+    """Whether a text's ids are those of its units: byte-level pieces that begin at spaces, no normaliser, plain control tokens."""
+    with open(tokenizer_file) as f:
+        spec = json.load(f)
+    cut = spec.get("pre_tokenizer") or {}
+    plain = not any(spec.get(step) for step in ("normalizer", "truncation", "padding"))
+    odd = any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or not t["special"] for t in spec["added_tokens"])
+    return plain and bool(spec["added_tokens"]) and not odd and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+
+
+@lru_cache(maxsize=4)
+def _encoder(tokenizer_file: str, control_tokens: bool = True) -> UnitEncoder:
+    """Units are encoded many at a time: the vocabulary's control token parts them and is an id of its own.
+
+    A tokenizer file of another kind encodes whole texts.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    plain, marked = Tokenizer.from_file(tokenizer_file), Tokenizer.from_file(tokenizer_file)
-    plain.encode_special_tokens = True
-    controls = {added.content: at for at, added in marked.get_added_tokens_decoder().items() if added.special}
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+
+    def alone(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenizer.encode_special_tokens = not control_tokens
+        found = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        tokenizer.encode_special_tokens = False
+        return flatten(found)
+
+    if not splits_before_spaces(tokenizer_file):
+        return UnitEncoder(lambda text: [text] if text else [], alone, UNITS_KEPT // 100, CHUNK_CHARS)
+    controls = {added.content: at for at, added in tokenizer.get_added_tokens_decoder().items()}
     mark, mark_id = next(iter(controls.items()))
+    control = re.compile("(" + "|".join(map(re.escape, sorted(controls, key=len, reverse=True))) + ")")
 
-    def alone(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return flatten([plain.encode(unit, add_special_tokens=False).ids for unit in units])
+    def split(text: str) -> list[str | tuple[str]]:
+        if not control_tokens or not any(c in text for c in controls):
+            return split_units(text)
+        # Controls stand at the odd places; what lies between them is cut like a text of its own.
+        return [unit for at, part in enumerate(control.split(text)) for unit in ([(part,)] if at % 2 else split_units(part))]
 
     def encode(units: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
         units = [unit[0] if isinstance(unit, tuple) else f" {unit}" for unit in units]
         parts = [units[low:low + _JOINED] for low in range(0, len(units), _JOINED)]
         joined = [mark.join(part) for part in parts]
         flat, sizes = [], []
-        for part, text, found in zip(parts, joined, marked.encode_batch_fast(joined, add_special_tokens=False)):
+        for part, text, found in zip(parts, joined, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             if any(text.count(control) != (len(part) - 1) * (control == mark) for control in controls):
                 ids, counts = alone(part)  # a unit that holds a control string itself
             else:
@@ -85,7 +118,7 @@ def _encoder(tokenizer_file: str) -> UnitEncoder:
             sizes.append(counts)
         return np.concatenate(flat), np.concatenate(sizes)
 
-    return UnitEncoder(split_units, encode)
+    return UnitEncoder(split, encode, UNITS_KEPT, CHUNK_CHARS)
 
 
 def piece_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:
@@ -95,7 +128,8 @@ def piece_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:
     return [max_tokens] * full + bits
 
 
-def cut_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, with_ids: bool = True) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, with_ids: bool = True,
+                  control_tokens: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens`` and, unless left out, its ``ids``."""
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
@@ -105,30 +139,34 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TO
         schema += ", ids array<int>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_file)
+        encoder = _encoder(tokenizer_file, control_tokens)
         hold("packing", encoder.forget)
         for batch in batches:
-            names, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            rows, start, length, crc, tokens, ids = [], [], [], [], [], []
-            for row, found in enumerate(encoder.texts(text or "" for text in texts)):
-                whole = np.append(found, np.uint32(END_ID)).astype("<u4")
-                at = 0
-                for size in piece_lengths(len(whole), max_tokens):
-                    piece = whole[at:at + size]
-                    rows.append(row)
-                    start.append(at)
-                    length.append(size)
-                    crc.append(zlib.crc32(piece))
-                    tokens.append(len(whole))
-                    if with_ids:
-                        ids.append(piece.astype(np.int32))
-                    at += size
-            out = [names.take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, tokens))]
-            columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            if with_ids:
-                out.append(pa.array(ids, pa.list_(pa.int32())))
-                columns.append("ids")
-            yield pa.RecordBatch.from_arrays(out, columns)
+            for low in range(0, batch.num_rows, _ROWS):
+                yield pieces_of(batch.slice(low, _ROWS), encoder)
+
+    def pieces_of(batch: pa.RecordBatch, encoder: UnitEncoder) -> pa.RecordBatch:
+        names, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+        rows, start, length, crc, tokens, ids = [], [], [], [], [], []
+        for row, found in enumerate(encoder.texts(text or "" for text in texts)):
+            whole = np.append(found, np.uint32(END_ID)).astype("<u4")
+            at = 0
+            for size in piece_lengths(len(whole), max_tokens):
+                piece = whole[at:at + size]
+                rows.append(row)
+                start.append(at)
+                length.append(size)
+                crc.append(zlib.crc32(piece))
+                tokens.append(len(whole))
+                if with_ids:
+                    ids.append(piece.astype(np.int32))
+                at += size
+        out = [names.take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, tokens))]
+        columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        if with_ids:
+            out.append(pa.array(ids, pa.list_(pa.int32())))
+            columns.append("ids")
+        return pa.RecordBatch.from_arrays(out, columns)
 
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
@@ -145,9 +183,10 @@ def number_sequences(pieces: DataFrame) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS, with_ids: bool = True,
+         control_tokens: bool = True) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
-    return number_sequences(cut_documents(docs, tokenizer_file, max_tokens, with_ids))
+    return number_sequences(cut_documents(docs, tokenizer_file, max_tokens, with_ids, control_tokens))
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:

@@ -7,10 +7,12 @@ once per Python worker and a text's ids are gathered with numpy.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 
 #: Distinct units a worker remembers before it forgets the later half; bounds its memory, not the result.
 UNITS_KEPT = 800_000
@@ -28,10 +30,21 @@ def flatten(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 _held: dict[str, Callable[[], None]] = {}
 
 
+def give_back() -> None:
+    """Hands memory that Python and Arrow have freed back to the system, where its allocator can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def hold(owner: str, forget: Callable[[], None]) -> None:
     """Called as a task starts: what other operators left in this reused worker is forgotten, so memories do not add up."""
-    for other in [name for name in _held if name != owner]:
+    others = [name for name in _held if name != owner]
+    for other in others:
         _held.pop(other)()
+    if others or not _held:
+        give_back()
     _held[owner] = forget
 
 
@@ -66,8 +79,8 @@ class UnitEncoder:
     """``split`` cuts a text into units, ``encode`` gives the ids of a list of units in a row, and the number of each."""
 
     def __init__(self, split: Callable[[str], list], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 units_kept: int = UNITS_KEPT):
-        self.split, self.encode, self.units_kept, self.chunk_chars = split, encode, units_kept, CHUNK_CHARS
+                 units_kept: int = UNITS_KEPT, chunk_chars: int = CHUNK_CHARS):
+        self.split, self.encode, self.units_kept, self.chunk_chars = split, encode, units_kept, chunk_chars
         self.forget()
 
     def forget(self) -> None:

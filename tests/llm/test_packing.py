@@ -18,9 +18,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(FILE)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(FILE)
 
 
 def ids_of(tokenizer, text):
@@ -32,6 +30,23 @@ def test_units_give_the_ids_of_the_text(tokenizer):
     assert [x.tolist() for x in packing._encoder(FILE).texts(texts)] == [ids_of(tokenizer, t)[:-1] for t in texts]
 
 
+def test_control_strings(tokenizer):
+    text = "a <|endoftext|> b<|endoftext|><|endoftext|>  c"
+    assert ids_of(tokenizer, text)[:4] == [64, 220, 50256, 275]
+    assert [x.tolist() for x in packing._encoder(FILE).texts([text])] == [ids_of(tokenizer, text)[:-1]]
+    ordinary = Tokenizer.from_file(FILE)
+    ordinary.encode_special_tokens = True
+    assert [x.tolist() for x in packing._encoder(FILE, False).texts([text])] == [ids_of(ordinary, text)[:-1]]
+
+
+def test_other_kinds_of_tokenizer_encode_whole_texts():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.splits_before_spaces(FILE) and not packing.splits_before_spaces(file)
+    texts = [t or "" for t in TEXTS] + ["Two  WORDS, it's 12"]
+    own = Tokenizer.from_file(file)
+    assert [x.tolist() for x in packing._encoder(file).texts(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("tokens, pieces", [(1, [1]), (7, [4, 2, 1]), (16, [16]), (37, [16, 16, 4, 1]), (31, [16, 8, 4, 2, 1])])
 def test_piece_lengths(tokens, pieces):
     assert packing.piece_lengths(tokens, 16) == pieces
