@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leadpanel.llm import chat, exact, licenses, lines, minhash, packing, quality, sentencepiece_codec, vectors, warc
+from leadpanel.llm import bpe, chat, exact, licenses, lines, minhash, packing, prefix_trie, quality, sentencepiece_codec, spelling, vectors, warc
 from leadpanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,19 @@ def op10(spark, folder):
         "conv_id bigint, turn bigint, role string, text string",
     )
     return chat.digests(chat.read_back(chat.format_conversations(turns.unionByName(trap))))
+
+
+@query("op11_trie_pair_spelling", spelling.ORACLE)
+def op11(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@query("op12_segment_tree_bpe")
+def op12(spark, folder):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_documents(table(spark, folder, "documents"), tokenizer, with_ids=False, with_text=False)
+
+
+@query("op13_count_min_prefix_trie", prefix_trie.ORACLE)
+def op13(spark, folder):
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
