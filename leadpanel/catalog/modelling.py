@@ -4,7 +4,10 @@ from leadpanel.catalog.registry import oracle, query
 from leadpanel.catalog.tidy import tidy
 from leadpanel.catalog.timeline import ADOPTED, SPEND, Y0, Y1, adopted_panel, spend
 from leadpanel.operators import windows as Y
+from leadpanel.operators.information import neighbour_information, unpivoted
+from leadpanel.operators.isotonic import isotonic_curve, isotonic_values
 from leadpanel.plans import models as M
+from leadpanel.plans import search as S
 from leadpanel.plans import survival as V
 from leadpanel.session import pin
 
@@ -102,6 +105,28 @@ def m6(t):
     return M.five_way_selection(data, "label", prep.names, keep=8, ridge_top=10)
 
 
+INFORMED = ("sqft", "numrooms", "saleprice", "area_building")
+PSI = ("(ln({n} + 6) - 0.5e0 / ({n} + 6) - 1 / (12e0 * ({n} + 6) ** 2) + 1 / (120e0 * ({n} + 6) ** 4) - 1 / (252e0 * ({n} + 6) ** 6)"
+       " + 1 / (240e0 * ({n} + 6) ** 8) - 1 / (132e0 * ({n} + 6) ** 10) - 1e0 / {n} - 1e0 / ({n} + 1) - 1e0 / ({n} + 2) - 1e0 / ({n} + 3) - 1e0 / ({n} + 4) - 1e0 / ({n} + 5))")
+
+
+@query("m6_neighbour_information", oracle("homes", f"""
+SELECT feature, round(greatest(0, {PSI.format(n='max(total)')} + avg({PSI.format(n='k')}) - avg({PSI.format(n='ny')}) - avg({PSI.format(n='m')})), 6) AS mi
+FROM (SELECT p.feature, p.ny, p.total, p.k, count(*) FILTER (abs(q.x - p.x) < p.d OR q.x = p.x) AS m
+      FROM reach p JOIN sized q USING (feature) GROUP BY p.feature, p.id, p.ny, p.total, p.k)
+GROUP BY 1""", long=" UNION ALL ".join(
+    f"SELECT '{n}' AS feature, strap AS id, solar_panels = 'Yes' AS y, CAST({n} AS DOUBLE) AS x FROM homes WHERE {n} IS NOT NULL AND solar_panels IS NOT NULL" for n in INFORMED),
+    sized="""SELECT *, count(*) OVER (PARTITION BY feature) AS total, least(3, ny - 1) AS k
+    FROM (SELECT *, count(*) OVER (PARTITION BY feature, y) AS ny FROM long) WHERE ny > 1""",
+    reach="""SELECT a.feature, a.id, a.x, a.ny, a.total, a.k, list(abs(b.x - a.x) ORDER BY abs(b.x - a.x))[a.k] AS d
+    FROM sized a JOIN sized b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id GROUP BY a.feature, a.id, a.x, a.ny, a.total, a.k"""))
+def m6_information(t):
+    """How much the size, rooms and prices of a home tell about the target, as they are."""
+    homes = t.homes.where("solar_panels IS NOT NULL").withColumn("_y", (c("solar_panels") == "Yes").cast("int"))
+    found = neighbour_information(unpivoted(homes, INFORMED, "_y", "strap", noise=0.0))
+    return tidy(found.select(F.get(F.array(*[F.lit(n) for n in INFORMED]), c("f")).alias("feature"), "mi"))
+
+
 @query("m7_fold_sizes", oracle("homes adoptions", f"""
 SELECT i AS install_year, count(*) FILTER (year < i - 1) AS train_n, CAST(coalesce(sum(l) FILTER (year < i - 1), 0) AS BIGINT) AS train_pos,
   count(*) FILTER (year = i - 1) AS test_n, CAST(sum(l) FILTER (year = i - 1) AS BIGINT) AS test_pos
@@ -129,6 +154,22 @@ def m10(t):
     return M.calibrated(forest, train, test).select("strap", "label", "score")
 
 
+# Every block from every pair of its ends: the largest of the smallest means that reach past a price.
+@query("m10_isotonic_curve", oracle("homes", """
+SELECT x, round(max(low), 6) AS value FROM (
+  SELECT a, x, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS low FROM (
+    SELECT j.i AS a, k.i AS b, k.x, (k.cy - j.cy + j.y) / (k.cn - j.cn + j.n) AS mean FROM cum j JOIN cum k ON j.i <= k.i))
+GROUP BY x""", counted="""
+SELECT sqft AS x, count(*) * 1.0e0 AS n, count(*) FILTER (solar_panels = 'Yes') * 1.0e0 AS y FROM homes WHERE sqft IS NOT NULL AND solar_panels IS NOT NULL GROUP BY 1""",
+    cum="SELECT *, row_number() OVER w AS i, sum(n) OVER w AS cn, sum(y) OVER w AS cy FROM counted WINDOW w AS (ORDER BY x)"))
+def m10_curve(t):
+    """How the share of adopters rises with size, at every size there is."""
+    points = t.homes.select(F.lit(0).cast("bigint").alias("fold"), c("sqft").cast("double").alias("x"),
+                            (c("solar_panels") == "Yes").cast("double").alias("y"), F.lit(1.0).alias("w"))
+    points = pin(points.where("x IS NOT NULL AND y IS NOT NULL"))
+    return tidy(isotonic_values(isotonic_curve(points), points.select("fold", "x").distinct()).select("x", "value"))
+
+
 @query("m12_final_list")
 def m12(t):
     return tidy(M.final_list(job(t), {"forest": forest, "boost": boost}, Y1))
@@ -161,6 +202,15 @@ def m15(t):
     return M.parameter_search(job(t), forest, {"numTrees": [10, 20], "maxDepth": [3, 6], "minInstancesPerNode": [1, 20]}, [Y1 - 1, Y1])
 
 
+# The library's ranges with fewer and smaller trees, as in the other queries here.
+SEARCHED = {**S.FOREST_SPACE, "numTrees": S.Whole(5, 20, 5), "maxDepth": S.Whole(2, 6)}
+
+
+@query("m15_random_search")
+def m15_random(t):
+    return tidy(S.random_search(job(t), lambda **own: M.forest(**own), SEARCHED, [Y1 - 2, Y1 - 1, Y1], trials=12, calibrate=False, startup=4))
+
+
 @query("m16_interaction_screen")
 def m16(t):
     pairs = [("spend", "n_orders"), ("home_age", "saleprice"), ("sqft", "numrooms")]

@@ -14,12 +14,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadpanel.operators import metrics as E
 from leadpanel.operators.features import interaction
+from leadpanel.operators.information import NEIGHBOURS, neighbour_information, unpivoted
+from leadpanel.operators.isotonic import isotonic_curve, isotonic_values
 from leadpanel.operators.ranking import add_position, median_scalars
 from leadpanel.operators.sampling import fold_of, hash_order, split_by_group
 from leadpanel.session import pin
@@ -280,23 +282,13 @@ def drop_correlated(data: DataFrame, names: Sequence[str], ranked: Sequence[str]
     return chosen
 
 
-def mutual_information(data: DataFrame, label: str, names: Sequence[str], bins: int = 10) -> DataFrame:
-    """Mutual information of each feature with the label, from counts over equal-width bins."""
+def mutual_information(data: DataFrame, label: str, names: Sequence[str], key: str = "row_id", neighbours: int = NEIGHBOURS) -> DataFrame:
+    """Mutual information of each feature with the label, from nearest neighbours of the same class."""
     x = vector_to_array("features")
-    long = data.select(c(label).alias("y"), F.posexplode(x).alias("f", "v"))
-    ends = long.groupBy("f").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    binned = long.join(F.broadcast(ends), "f").withColumn(  # one row per feature
-        "b", F.least(F.floor((c("v") - c("lo")) / F.nullif(c("hi") - c("lo"), F.lit(0.0)) * bins), F.lit(bins - 1)))
-    cells = binned.groupBy("f", "b", "y").agg(F.count(F.lit(1)).alias("n"))
-    total = cells.groupBy("f").agg(F.sum("n").alias("all"))
-    by_bin = cells.groupBy("f", "b").agg(F.sum("n").alias("nb"))
-    by_label = cells.groupBy("f", "y").agg(F.sum("n").alias("ny"))
-    joined = cells.join(total, "f").join(by_label, ["f", "y"]).alias("a").join(
-        by_bin.alias("b"), (c("a.f") == c("b.f")) & c("a.b").eqNullSafe(c("b.b")))
-    share = c("n") / c("all")
-    mi = joined.groupBy(c("a.f").alias("f")).agg(F.sum(share * F.log(c("n") * c("all") / (c("nb") * c("ny")))).alias("mi"))
+    wide = data.select(c(key).alias("_id"), c(label).alias("_y"), *[x[i].alias(f"_f{i}") for i in range(len(names))])
+    found = neighbour_information(unpivoted(wide, [f"_f{i}" for i in range(len(names))], "_y", "_id"), neighbours)
     labels = F.array(*[F.lit(n) for n in names])
-    return mi.select(F.get(labels, c("f")).alias("feature"), "mi")
+    return found.select(F.get(labels, c("f")).alias("feature"), "mi")
 
 
 def five_way_selection(data: DataFrame, label: str, names: Sequence[str], keep: int = 25, ridge_top: int = 30) -> DataFrame:
@@ -335,27 +327,22 @@ def _percentile(ordered: list[float], share: float) -> float:
     return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
 
 
-# Digits of a score that the calibration curve tells apart; bounds the curve at 10,001 scores.
-CURVE_DIGITS = 4
-
-
 # ---- calibration ---------------------------------------------------------------------------
 def calibrated(make: Callable, train: DataFrame, test: DataFrame, folds: int = 3, key: str = "strap", seed: int = 42) -> DataFrame:
-    """Mean of per-fold isotonic corrections: each fold's model is corrected on its held-out rows."""
-    parts = []
+    """Mean of per-fold isotonic corrections: each fold's model is corrected on its held-out rows.
+
+    Scores are used as they are; a fold without held-out rows corrects nothing and is left out of the mean.
+    """
+    points = raw = None
     fold = fold_of(key, folds, seed)
     for i in range(folds):
         model = make().fit(train.where(fold != i))
-        held = scored(model, train.where(fold == i), "raw")
-        # Rows are summed by binned score first: the curve is put together on the driver.
-        points = held.groupBy(F.round("raw", CURVE_DIGITS).alias("raw"), "label").agg(F.sum("weight").alias("weight"))
-        curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)
-        raw = scored(model, test, "raw")
-        parts.append(curve.transform(raw).select("row_id", c("prediction").alias("p")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return test.join(every.groupBy("row_id").agg(F.avg("p").alias("score")), "row_id")
+        number = F.lit(i).cast("bigint").alias("fold")
+        held = scored(model, train.where(fold == i), "x").select(number, "x", c("label").cast("double").alias("y"), c("weight").alias("w"))
+        own = scored(model, test, "x").select(number, "row_id", "x")
+        points, raw = (held, own) if i == 0 else (points.unionByName(held), raw.unionByName(own))
+    values = isotonic_values(isotonic_curve(points), pin(raw))
+    return test.join(values.groupBy("row_id").agg(F.avg("value").alias("score")), "row_id")
 
 
 # ---- jobs --------------------------------------------------------------------------------------
