@@ -2,12 +2,14 @@ from pyspark.sql import functions as F
 
 from leadpanel.catalog.registry import oracle, query
 from leadpanel.catalog.sql_parts import EXPLODED, FLAGGED, TYPED, any_in, has, parsed_date
+from leadpanel.catalog.tables import scratch
 from leadpanel.catalog.tidy import tidy
 from leadpanel.functions import permit_rules as R
 from leadpanel.functions.dates import clean_issue_date
 from leadpanel.operators import permits as P
 from leadpanel.operators import quality as Q
 from leadpanel.operators.sampling import stratified_by_type
+from leadpanel.sources import versions as V
 
 FLAG_LIST = ", ".join(R.FLAGS)
 
@@ -80,9 +82,11 @@ DIST = """SELECT e.permit_type, count(*) AS n, (SELECT count(*) FROM typed) AS t
   100.0e0 * count(*) / (SELECT count(*) FROM typed) AS pct FROM exploded e GROUP BY 1"""
 
 
-def half_year_baseline(t):
-    """Baseline: the same report over the permits issued up to 1997."""
-    return Q.type_distribution(P.classify(t.permits.where(F.year("issue_date") <= 1997)))
+def saved_baseline(t):
+    """The report over the permits issued up to 1997, stored as a run of that year leaves it, and read again."""
+    path = scratch(t.spark, "baseline")
+    V.reload(Q.type_distribution(P.classify(t.permits.where(F.year("issue_date") <= 1997))), path)
+    return V.read_version(t.spark, path)
 
 
 @query("d2_type_distribution", oracle("permits", """
@@ -92,7 +96,7 @@ FROM dist d FULL JOIN (SELECT e.permit_type, 100.0e0 * count(*) / (SELECT count(
   FROM exploded e WHERE year(issue_date) <= 1997 GROUP BY 1) b ON d.permit_type = b.permit_type""",
     flagged=FLAGGED, typed=TYPED, exploded=EXPLODED, dist=DIST))
 def d2(t):
-    return tidy(Q.type_distribution(P.classify(t.permits), half_year_baseline(t)))
+    return tidy(Q.type_distribution(P.classify(t.permits), saved_baseline(t)))
 
 
 @query("d2_distribution_warnings", oracle("permits", """

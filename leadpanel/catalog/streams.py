@@ -6,6 +6,7 @@ from leadpanel.catalog.tables import scratch
 from leadpanel.catalog.tidy import tidy
 from leadpanel.sources.views import VIEWS
 from leadpanel.streaming import jobs as J
+from leadpanel.streaming import resume as R
 
 c = F.col
 
@@ -20,6 +21,21 @@ def permit_stream(t):
     return t.spark.sql(text, orders=stream_of(t, "orders"))
 
 
+@query("r1_resume_stream", oracle("homes home_scores", """
+SELECT strap, CASE WHEN strap IN (SELECT home_index FROM home_scores) THEN 'failed' ELSE 'new' END AS reason
+FROM homes WHERE strap NOT IN (SELECT home_index FROM home_scores WHERE model_score IS NOT NULL)"""))
+def r1_stream(t):
+    """The results so far and the wanted homes arrive as streams; what is done is not asked for again."""
+    customers, nations = stream_of(t, "customer"), t.nation
+    scores = t.spark.sql(VIEWS["home_scores"][0], customer=customers)
+    homes = t.spark.sql(VIEWS["homes"][0], customer=customers, nation=nations)
+    events = homes.select(c("strap").alias("key"), F.lit(None).cast("boolean").alias("ok")).unionByName(
+        scores.select(c("home_index").alias("key"), c("model_score").isNotNull().alias("ok")))
+    path, checkpoint = scratch(t.spark, "tries"), scratch(t.spark, "tries-state")
+    R.resume_available(events, "key", "ok", path, checkpoint)
+    return J.read_appends(t.spark, path).select(c("key").alias("strap"), "reason")
+
+
 @query("r4_permit_feed", oracle("permits", """
 SELECT strap, permit_num, permit_type, round(estimated_value, 6) AS estimated_value FROM exploded
 QUALIFY row_number() OVER (PARTITION BY strap, permit_num, permit_type ORDER BY issue_date DESC) = 1""",

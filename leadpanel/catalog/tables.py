@@ -15,8 +15,11 @@ from leadpanel.operators import sampling as SA
 from leadpanel.operators import topk as K
 from leadpanel.session import ensure_checkpoint_dir
 from leadpanel.sources import io as IO
+from leadpanel.sources import versions as V
 
 c = F.col
+#: Buckets of the keyed tables here: a few for each task.
+BUCKETS = 16
 
 
 def scratch(spark, name):
@@ -87,10 +90,12 @@ def io6(t):
 
 @query("io7_reload_table", oracle("homes", "SELECT strap, county FROM homes"))
 def io7(t):
+    # The second version is worked out from the first, which stays whole until the manifest names the second.
     path = scratch(t.spark, "reload")
-    IO.write_table(t.homes.select("strap", F.lit("old").alias("county")), path)
-    IO.write_table(t.homes.select("strap", "county"), path)
-    return t.spark.read.parquet(path)
+    V.reload(t.homes.select("strap", F.lit("old").alias("county")), path)
+    old = V.read_version(t.spark, path).select("strap")
+    V.reload(old.join(t.homes.select("strap", "county"), "strap"), path)
+    return V.read_version(t.spark, path)
 
 
 @query("io8_upsert", """
@@ -101,7 +106,10 @@ def io8(t):
         c("o_custkey").alias("home"), c("o_orderpriority").alias("kind"), c("o_orderkey").alias("permit_key"),
         (c("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).cast("int").alias("is_new"))
     old, new = rows.where(c("is_new") == 0), rows.where(c("is_new") == 1)
-    return tidy(IO.upsert(old, new, ["home", "kind"], "permit_key"))
+    path = scratch(t.spark, "permits")
+    V.create_keyed(old, path, ["home", "kind"], BUCKETS, "permit_key")
+    V.upsert_keyed(new, path, "permit_key")
+    return tidy(V.read_version(t.spark, path))
 
 
 @query("io9_upsert_columns", oracle("homes home_scores", """
@@ -114,7 +122,10 @@ def io9(t):
     new = t.home_scores.select(
         c("home_index").alias("strap"), F.concat(F.lit("new"), "home_index").alias("image_name"),
         F.when(c("model_score") > 50, "Yes").alias("flag"))
-    return IO.upsert_columns(old, new, ["strap"], keep_old=["image_name"])
+    path = scratch(t.spark, "images")
+    V.create_keyed(old, path, ["strap"], BUCKETS)
+    V.upsert_columns_keyed(new, path, keep_old=["image_name"])
+    return V.read_version(t.spark, path)
 
 
 @query("io10_partial_upsert", oracle("home_scores", """
@@ -124,7 +135,10 @@ FULL JOIN (SELECT home_index, model_score + 1 AS model_score FROM home_scores WH
 def io10(t):
     old = t.home_scores.where(c("roof_score") >= 30)
     new = t.home_scores.where(c("model_score") >= 40).select("home_index", (c("model_score") + 1).alias("model_score"))
-    return tidy(IO.upsert_columns(old, new, ["home_index"], keep_old=[]))
+    path = scratch(t.spark, "scores")
+    V.create_keyed(old, path, ["home_index"], BUCKETS)
+    V.upsert_columns_keyed(new, path)
+    return tidy(V.read_version(t.spark, path))
 
 
 @query("io11_validation_report", oracle("homes permits", """

@@ -116,13 +116,27 @@ def first_event(stream: DataFrame, key: str, condition: Column, time: str) -> Da
     return stream.where(condition).groupBy(key).agg(F.min(time).alias("first_at"))
 
 
-def write_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
-    """``update`` mode: each batch's changed keys are written as files, any number of them."""
+def _batch_folders(path: str) -> Callable[[DataFrame, int], None]:
+    """Each batch goes to its own folder, which a repeated batch overwrites."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    return write
+
+
+def write_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    """``update`` mode: each batch's changed keys are written as files, any number of them."""
     return run_available(
-        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint))
+        stream.writeStream.outputMode("update").foreachBatch(_batch_folders(path)).option("checkpointLocation", checkpoint))
+
+
+def write_appends(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """``append`` mode: every row of a batch is a row of the table."""
+    return run_available(stream.writeStream.outputMode("append").foreachBatch(_batch_folders(path)).option("checkpointLocation", checkpoint))
+
+
+def read_appends(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path).drop("batch_id", "_batch")
 
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
