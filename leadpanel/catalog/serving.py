@@ -3,11 +3,13 @@ from pyspark.sql import functions as F
 from leadpanel.catalog.expressions import BANDS, HYBRID, OWNER_1, ROOF_SCORE, SOLAR_SCORE, TOP, _expected
 from leadpanel.catalog.registry import oracle, query
 from leadpanel.catalog.sql_parts import EXPLODED, FLAGGED, TYPED
+from leadpanel.catalog.tables import scratch
 from leadpanel.catalog.tidy import tidy
 from leadpanel.operators import features as W
 from leadpanel.operators import permits as P
 from leadpanel.operators import topk as K
 from leadpanel.plans import serve as S
+from leadpanel.sources import versions as V
 
 c = F.col
 
@@ -47,6 +49,18 @@ def q3(t):
     return tidy(out.select("index", "address", "hybrid_score", "total_count"))
 
 
+@query("q3_ranked_page", oracle("homes home_scores", f"""
+SELECT "index", address, hybrid_score, total_count FROM (SELECT *, count(*) OVER () AS total_count FROM
+ (SELECT *, CAST({WHOLE} AS DOUBLE) AS hybrid_score FROM served WHERE county = 'MACHINERY' AND has_solar IS NOT TRUE))
+ORDER BY hybrid_score DESC NULLS LAST, "index" LIMIT 40 OFFSET 15""", served=SERVED))
+def q3_ranked(t):
+    """The same page from a table written once in rank order: matches are counted per run, then one run is read."""
+    path = scratch(t.spark, "ranked-homes")
+    V.write_ranked(S.homes_with_scores(served(t), t.home_scores), path, "hybrid_score", "index", 2 * t.spark.sparkContext.defaultParallelism)
+    wanted = (c("county") == "MACHINERY") & ~F.coalesce(c("has_solar"), F.lit(False))
+    return tidy(V.read_page(t.spark, path, 40, 15, wanted).select("index", "address", "hybrid_score", "total_count"))
+
+
 def filed(t):
     rows = P.explode_types(P.classify(t.permits))
     return rows.select(

@@ -456,6 +456,18 @@ def t2(t):
     return K.page(scored, "model_score", "strap", 50, 20)
 
 
+@query("t2_deep_page", oracle("homes home_scores", """
+SELECT strap, model_score, (SELECT count(*) FROM homes LEFT JOIN home_scores ON strap = home_index) AS total_count FROM homes LEFT JOIN home_scores ON strap = home_index
+ORDER BY model_score DESC NULLS LAST, strap LIMIT 40 OFFSET (SELECT CAST(count(*) * 3 // 4 AS BIGINT) FROM homes)"""))
+def t2_deep(t):
+    """Three quarters down the list: only the runs that hold the page are read."""
+    scored = t.homes.join(t.home_scores, c("strap") == c("home_index"), "left").select("strap", "model_score")
+    path = scratch(t.spark, "ranked")
+    V.write_ranked(scored, path, "model_score", "strap", 2 * t.spark.sparkContext.defaultParallelism)
+    total = sum(V.manifest(t.spark, path).counts.values())
+    return tidy(V.read_page(t.spark, path, 40, total * 3 // 4))
+
+
 @query("t4_map_points", oracle("homes", """
 SELECT strap, round(lat, 6) AS lat, round(lon, 6) AS lon FROM homes WHERE lat >= 40.005 AND lon <= -105.27 ORDER BY strap LIMIT 200"""))
 def t4(t):

@@ -45,6 +45,8 @@ class Manifest:
     folders: dict[str, str] = field(default_factory=dict)
     keys: list[str] = field(default_factory=list)
     buckets: int = 0
+    order: list[str] = field(default_factory=list)
+    counts: dict[str, int] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -213,3 +215,61 @@ def upsert_columns_keyed(batch: DataFrame, path: str, keep_old: Sequence[str] =
     """Merge by key with a rule per column: old first for ``keep_old``, new first elsewhere; a batch has a key once."""
     keys = _keyed(batch.sparkSession, path).keys
     return merge_buckets(batch, path, lambda stored, new: upsert_columns(stored, new, keys, list(keep_old)))
+
+
+# ---- ranked tables ---------------------------------------------------------------------------
+RUN = "_run"
+
+
+def page_order(sort: str, key: str) -> list[Column]:
+    """Highest first, unknown last, then by key."""
+    return [F.col(sort).desc_nulls_last(), F.col(key).asc()]
+
+
+def write_ranked(df: DataFrame, path: str, sort: str, key: str, runs: int) -> int:
+    """``df`` in runs by rank, with a directory of their sizes in the manifest; ``key`` is unique. Returns the version."""
+    spark = df.sparkSession
+    before = manifest(spark, path)
+    version = 1 if before is None else before.version + 1
+    folder = _fresh(path, version)
+    order = page_order(sort, key)
+    df.repartitionByRange(runs, *order).sortWithinPartitions(*order).withColumn(RUN, F.spark_partition_id()).write.partitionBy(RUN).parquet(folder)
+    written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(RUN, T.IntegerType())])).option("basePath", folder).parquet(folder)
+    sizes = {r[RUN]: r["n"] for r in written.groupBy(RUN).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per run
+    names = {str(r): f"{folder}/{RUN}={r}" for r in sorted(sizes)}
+    publish(spark, path, Manifest(version, df.schema.json(), names, order=[sort, key], counts={str(r): sizes[r] for r in sorted(sizes)}))
+    return version
+
+
+def _matching_per_run(spark: SparkSession, found: Manifest, where: Column) -> dict[str, int]:
+    """Rows of each run that match; only the columns of the condition are read."""
+    if not found.folders:
+        return {}
+    base = next(iter(found.folders.values())).rsplit("/", 1)[0]
+    schema = T.StructType([*found.struct.fields, T.StructField(RUN, T.IntegerType())])
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*found.folders.values()).where(where)
+    return {str(r[RUN]): r["n"] for r in rows.groupBy(RUN).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per run
+
+
+def read_page(spark: SparkSession, path: str, limit: int, offset: int = 0, where: Column | None = None) -> DataFrame:
+    """One page in rank order with ``total_count``, the number of all rows that match.
+
+    The directory tells in which runs the page lies, and only those are read; with a condition, the matching
+    rows of each run are counted first.
+    """
+    found = manifest(spark, path)
+    if found is None or not found.order:
+        raise ValueError(f"{path} is no ranked table")
+    counts = found.counts if where is None else _matching_per_run(spark, found, where)
+    total, first, wanted = sum(counts.values()), None, []
+    at = 0
+    for run in sorted(found.folders, key=int):
+        n = counts.get(run, 0)
+        if at + n > offset and at < offset + limit:
+            first = at if first is None else first
+            wanted.append(found.folders[run])
+        at += n
+    rows = _read(spark, found, wanted)
+    rows = rows if where is None else rows.where(where)
+    page = rows.orderBy(*page_order(*found.order)).offset(offset - (first or 0) if wanted else 0).limit(limit)
+    return page.withColumn("total_count", F.lit(total).cast("bigint"))

@@ -197,3 +197,19 @@ def test_no_shuffle_moves_home_years(spark):
     plan = panel._jdf.queryExecution().executedPlan().toString()
     above = plan[:plan.index("Generate")]
     assert "Exchange" not in above, above
+
+
+def test_first_in_hash_order(spark):
+    """The same rows as a sort and a limit, at every size, without a sort; a key that repeats is cut inside."""
+    df = spark.range(9000).select((F.col("id") % 8500).alias("id"), F.col("id").alias("row"))
+    unique = df.where("row < 8500")
+    for k in (1, 2, 37, 4096, 8499, 8500, 10**6):
+        got = SA.first_in_hash_order(unique, "id", k)
+        want = unique.orderBy(SA.hash_order("id", 42), "id").limit(k)
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Sort" not in plan
+    hot = spark.range(9000).select(F.lit(5).alias("id"), F.col("id").alias("row"))
+    assert SA.first_in_hash_order(hot, "id", 4000).count() == 4000 and SA.first_in_hash_order(df, "id", 0).count() == 0
+    for k in (100, 5000, 8999):
+        assert SA.first_in_hash_order(df.withColumn("id", F.when(F.col("id") % 9 > 0, F.col("id"))), "id", k).count() == k

@@ -121,3 +121,45 @@ def test_no_keyed_table(spark, path):
     V.reload(spark.range(2), path)
     with pytest.raises(ValueError):
         V.upsert_keyed(spark.range(2), path, "id")
+
+
+# ---- ranked tables ---------------------------------------------------------------------------
+def scored(spark, n=3000):
+    """Many ties and unknown scores."""
+    score = F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") * 37 % 50).cast("double"))
+    return spark.range(n).select(F.format_string("h%05d", "id").alias("strap"), score.alias("score"), (F.col("id") % 3).alias("kind"))
+
+
+def sql_page(df, limit, offset, where=None):
+    df = df if where is None else df.where(where)
+    total = df.count()
+    return [(*r, total) for r in df.orderBy(*V.page_order("score", "strap")).offset(offset).limit(limit).collect()]
+
+
+def test_a_deep_page_reads_its_runs_alone(spark, path):
+    table = scored(spark)
+    V.write_ranked(table, path, "score", "strap", 12)
+    counts = V.manifest(spark, path).counts
+    assert sum(counts.values()) == 3000 and len(counts) > 6
+    for offset in (0, 1, 700, 1499, 2570, 2990, 2999):
+        page = V.read_page(spark, path, 40, offset)
+        assert [tuple(r) for r in page.collect()] == sql_page(table, 40, offset)
+        read = {f.split("_run=")[1].split("/")[0] for f in page.inputFiles()}
+        assert len(read) <= 2
+    assert V.read_page(spark, path, 40, 3000).collect() == [] and V.read_page(spark, path, 40, 10**9).collect() == []
+
+
+def test_filtered_pages_count_before_they_read(spark, path):
+    table = scored(spark)
+    V.write_ranked(table, path, "score", "strap", 12)
+    for where in (F.col("kind") == 1, F.col("score") > 45, F.col("score").isNull(), F.col("strap") == "none"):
+        for offset in (0, 150, 900):
+            assert [tuple(r) for r in V.read_page(spark, path, 25, offset, where).collect()] == sql_page(table, 25, offset, where)
+    assert len({f for f in V.read_page(spark, path, 25, 0, F.col("score") > 45).inputFiles()}) <= 2
+
+
+def test_ranked_tables_of_no_rows(spark, path):
+    V.write_ranked(scored(spark).limit(0), path, "score", "strap", 4)
+    assert V.read_page(spark, path, 10).collect() == [] and V.read_page(spark, path, 10, 0, F.col("kind") == 1).collect() == []
+    with pytest.raises(ValueError):
+        V.read_page(spark, path + "-none", 10)
