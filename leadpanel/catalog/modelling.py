@@ -278,6 +278,34 @@ def v4(t):
                  "feature string, coef double, hazard_ratio double, std_error double")
 
 
+def cox(t):
+    panel = frame(t)
+    return V.cox_report(times(t), panel, COX, ["saleprice", "sqft", "spend"])
+
+
+COX = ("saleprice", "sqft", "numrooms", "spend", "n_orders")
+
+
+@query("v4_cox_report")
+def v4_report(t):
+    return cox(t).features
+
+
+@query("v4_cox_concordance")
+def v4_concordance(t):
+    return cox(t).concordance
+
+
+# Every pair of homes, for a risk with as many values as there are homes.
+@query("v5_concordance_of_amounts", oracle("homes adoptions", """
+SELECT round(sum(CASE WHEN a.risk > b.risk THEN 1.0e0 WHEN a.risk = b.risk THEN 0.5e0 ELSE 0 END) / count(*), 6) AS c_index
+FROM risky a JOIN risky b ON a.event = 1 AND (b.duration > a.duration OR (b.duration = a.duration AND b.event = 0))""", g=ADOPTED, times=TIMES,
+    risky="SELECT t.duration, t.event, h.saleprice / nullif(h.sqft, 0) AS risk FROM times t JOIN homes h USING (strap) WHERE h.saleprice / nullif(h.sqft, 0) IS NOT NULL"))
+def v5_amounts(t):
+    risky = times(t).join(t.homes.select("strap", F.try_divide("saleprice", "sqft").alias("risk")), "strap")
+    return tidy(V.concordance(risky, "risk"))
+
+
 def hazard(t):
     panel = frame(t).drop("solar_next_year")
     periods = pin(V.person_periods(panel, V.durations(panel)).withColumn("time_at_risk", c("year") - Y0))

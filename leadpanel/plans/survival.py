@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from leadpanel.operators.ranking import add_running_sums, median_scalars
+from leadpanel.operators.ranking import add_position, add_running_sums, median_scalars
 from leadpanel.operators.sampling import split_by_group
 from leadpanel.plans import models as M
 from leadpanel.session import pin
@@ -57,24 +59,30 @@ def kaplan_meier(times: DataFrame, group: str) -> DataFrame:
 def concordance(times: DataFrame, risk: str) -> DataFrame:
     """Share of comparable pairs ordered right: the higher risk has its event first; equal risks count half.
 
-    A pair is comparable when one home has its event while the other is still at risk.
-    Counted per duration from ordered sums, never pair by pair.
+    A pair is comparable when one home has its event while the other is still at risk. Times are numbered,
+    with the events of a time before what is still open then, and a pair is counted at the highest bit in
+    which its numbers differ: there the event stands on the side of the zeros. So a row counts once per bit
+    of the number of times, risks may take any number of values, and no pair is formed.
     """
-    per = times.groupBy("duration", "event", risk).agg(F.count(F.lit(1)).alias("n"))
-    ends = [r[0] for r in per.where(c("event") == 1).select("duration").distinct().collect()]  # one per year
-    if not ends:
+    per = times.where(c(risk).isNotNull()).groupBy("duration", "event", risk).agg(F.count(F.lit(1)).alias("n"))
+    per = pin(per)
+    order = pin(add_position(per.select("duration").distinct(), [c("duration")], position="_at", total="_all"))
+    most = order.agg(F.max("_at")).first()[0]
+    if most is None:
         return times.agg(F.lit(None).cast("double").alias("c_index"))
-    open_at = F.array(*[
-        F.when((c("duration") > d) | ((c("duration") == d) & (c("event") == 0)), F.struct(F.lit(d).alias("at"), F.lit(0).alias("is_event")))
-        .when((c("duration") == d) & (c("event") == 1), F.struct(F.lit(d).alias("at"), F.lit(1).alias("is_event")))
-        for d in sorted(ends)])
-    rows = per.select(risk, "n", F.explode(F.array_compact(open_at)).alias("o")).select(risk, "n", "o.*")
-    marks = rows.groupBy("at", risk).agg(
-        F.sum(F.when(c("is_event") == 1, c("n")).otherwise(0)).alias("ev"),
-        F.sum(F.when(c("is_event") == 0, c("n")).otherwise(0)).alias("op"))
-    run = add_running_sums(marks, [c(risk).asc()], ["op"], ["at"])
-    return run.agg(
-        (F.sum(c("ev") * (c("cum_op") - c("op") + c("op") / 2)) / F.sum(c("ev") * c("total_op"))).alias("c_index"))
+    bits = (2 * most + 1).bit_length()
+    numbered = per.join(order.select("duration", "_at"), "duration").select(
+        risk, "n", "event", (2 * c("_at") + F.when(c("event") == 1, 0).otherwise(1)).alias("_r"))
+    side = lambda b: F.shiftright("_r", b).bitwiseAND(F.lit(1))
+    at = F.explode(F.array(*[F.struct(
+        F.lit(b).alias("bit"), F.shiftright("_r", b + 1).alias("above"), side(b).alias("later")) for b in range(bits)]))
+    # Events on the zeros' side meet all that lies on the ones' side below the same higher bits.
+    marks = numbered.select(risk, "n", "event", at.alias("_s")).select(risk, "n", "event", "_s.*").groupBy("bit", "above", risk).agg(
+        F.sum(F.when((c("later") == 0) & (c("event") == 1), c("n")).otherwise(0)).alias("ev"),
+        F.sum(F.when(c("later") == 1, c("n")).otherwise(0)).alias("op"))
+    run = add_running_sums(marks, [c(risk).asc()], ["op"], ["bit", "above"])
+    pairs = F.sum(c("ev") * c("total_op"))
+    return run.agg((F.sum(c("ev") * (c("cum_op") - c("op") + c("op") / 2)) / F.nullif(pairs, F.lit(0))).alias("c_index"))
 
 
 def _digamma(x: float) -> tuple[float, float]:
@@ -160,6 +168,48 @@ def cox_fit(rows: DataFrame, features: list[str], penalty: float = 0.1, steps: i
     ]
 
 
+# Share of the homes that is held out.
+TEST_SHARE = 0.2
+
+
+@dataclass(frozen=True)
+class CoxReport:
+    """A fit on the training homes: the table of its features, and how well it orders both parts."""
+
+    features: DataFrame  # feature, coef, hazard_ratio, std_error, z, p_value
+    concordance: DataFrame  # part (train, test), homes, c_index
+    risks: DataFrame  # strap, part, duration, event, risk
+
+
+def cox_report(times: DataFrame, panel: DataFrame, features: Sequence[str], log_features: Sequence[str] = (), penalty: float = 0.1,
+               key: str = "strap", seed: int = 42) -> CoxReport:
+    """Hazards from each home's last known features; amounts on a logarithmic scale, missing ones at the median.
+
+    Homes are split by a hash of their key, 80 to 20; the fit sees the training homes alone.
+    """
+    # The last known value of each column, as later years may lack some.
+    last = panel.groupBy(key).agg(*[F.max(F.when(c(f).isNotNull(), F.struct("year", c(f).cast("double").alias("v")))).alias(f) for f in features])
+    value = lambda f: F.log1p(F.greatest(c(f"{f}.v"), F.lit(0.0))) if f in log_features else c(f"{f}.v")
+    rows = pin(times.select(key, "duration", "event").join(last, key, "left").select(key, "duration", "event", *[value(f).alias(f) for f in features]))
+    middle = median_scalars(rows, list(features))
+    rows = pin(rows.withColumns({f: F.coalesce(c(f), F.lit(middle[f]), F.lit(0.0)) for f in features}))
+    train, test = split_by_group(rows, key, TEST_SHARE, seed)
+    fitted = cox_fit(train, list(features), penalty)
+    found = [(r["feature"], r["coef"], r["hazard_ratio"], r["std_error"], r["coef"] / r["std_error"], math.erfc(abs(r["coef"] / r["std_error"]) / math.sqrt(2)))
+             for r in fitted]
+    hazard = sum((F.lit(r["coef"]) * c(r["feature"]) for r in fitted), F.lit(0.0))
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    risks = pin(both.select(key, "part", "duration", "event", hazard.alias("risk")))
+    ordered = []
+    for part in ("train", "test"):
+        own = risks.where(c("part") == part)
+        ordered.append((part, own.count(), concordance(own, "risk").first()[0]))
+    spark = times.sparkSession
+    return CoxReport(
+        spark.createDataFrame(found, "feature string, coef double, hazard_ratio double, std_error double, z double, p_value double"),
+        spark.createDataFrame(ordered, "part string, homes bigint, c_index double"), risks)
+
+
 def discrete_hazard(periods: DataFrame, features: list[str], seed: int = 42) -> dict[str, DataFrame]:
     """Pooled sparse logistic model on person-periods: hazard ratios, test lift in the last year, risk list."""
     data = M.scale(M.assemble(periods, features))
