@@ -15,6 +15,7 @@ from leadpanel.operators import sampling as SA
 from leadpanel.operators import topk as K
 from leadpanel.session import ensure_checkpoint_dir
 from leadpanel.sources import io as IO
+from leadpanel.sources import typed_csv as TC
 from leadpanel.sources import versions as V
 
 c = F.col
@@ -35,6 +36,36 @@ def io1(t):
     return tidy(IO.read_csv(t.spark, path, "strap string, lat double, mainfloorsf double, saledate string"))
 
 
+def soiled_csv(t):
+    """The homes as a file: letters for every thirteenth build year, one cell too few in every seventeenth row."""
+    path = scratch(t.spark, "typed")
+    year = F.when(c("original_index") % 13 == 0, F.lit("unknown")).otherwise(F.floor("yearbuilt").cast("string"))
+    cells = [c("original_index").cast("string"), F.format_string("%06d", "original_index"), F.coalesce(year, F.lit("")),
+             F.coalesce(c("saleprice").cast("string"), F.lit("")), F.concat(F.lit('"'), "strap", F.lit(' of\nthe ""list"", as it is"'))]
+    line = F.when(c("original_index") % 17 == 5, F.concat_ws(",", *cells[:2])).otherwise(F.concat_ws(",", *cells))
+    t.homes.select(line.alias("value")).write.text(path, lineSep="\n")
+    # A header of its own in every part, as Spark's own writer gives them, is what the reader expects.
+    parts = t.spark.read.text(path, wholetext=True)
+    t_path = scratch(t.spark, "typed-parts")
+    parts.select(F.concat(F.lit("original_index,code,yearbuilt,saleprice,note\n"), "value").alias("value")).write.text(t_path)
+    return TC.read_typed_csv(t.spark, t_path)
+
+
+@query("io1_typed_csv", oracle("homes", """
+SELECT CAST(original_index AS BIGINT) AS original_index, lpad(CAST(original_index AS VARCHAR), 6, '0') AS code, CAST(floor(yearbuilt) AS BIGINT) AS yearbuilt,
+  round(saleprice, 6) AS saleprice, strap || ' of' || chr(10) || 'the "list", as it is' AS note
+FROM homes WHERE original_index % 13 <> 0 AND original_index % 17 <> 5"""))
+def io1_typed(t):
+    return tidy(soiled_csv(t).rows)
+
+
+@query("io1_csv_errors", oracle("homes", """
+SELECT CASE WHEN original_index % 17 <> 5 THEN 'yearbuilt' END AS "column", CASE WHEN original_index % 17 <> 5 THEN 'no bigint' ELSE 'wrong number of cells' END AS error,
+  count(*) AS n FROM homes WHERE original_index % 13 = 0 OR original_index % 17 = 5 GROUP BY 1, 2"""))
+def io1_errors(t):
+    return soiled_csv(t).errors.groupBy("column", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("io2_pruned_scan", "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem")
 def io2(t):
     return tidy(IO.read_table(t.spark, f"{t.folder}/lineitem.parquet", ["l_orderkey", "l_linenumber"]))
