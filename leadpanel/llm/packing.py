@@ -55,7 +55,7 @@ def split_units(text: str) -> list[str | tuple[str]]:
 #: Units encoded as one text, with a control token between them.
 _JOINED = 512
 #: Distinct units a worker remembers, and characters it splits at a time: tens of MB.
-UNITS_KEPT, CHUNK_CHARS = 200_000, 500_000
+UNITS_KEPT, CHUNK_CHARS = 400_000, 500_000
 #: Rows of a batch that are turned into Python strings at a time.
 _ROWS = 256
 
