@@ -15,6 +15,7 @@ from leadpanel.operators import sampling as SA
 from leadpanel.operators import topk as K
 from leadpanel.session import ensure_checkpoint_dir
 from leadpanel.sources import io as IO
+from leadpanel.sources import text_index as X3
 from leadpanel.sources import typed_csv as TC
 from leadpanel.sources import versions as V
 
@@ -272,6 +273,16 @@ def f11(t):
     return t.homes.where(L.search("2 Elm Street 0 Nation_1 ", "address", "city", "owner")).select("strap")
 
 
+@query("f11_indexed_search", oracle("homes", """
+SELECT strap, address, city FROM homes WHERE contains(lower(concat_ws(' ', address, city, owner)), 'elm street 0 n')"""))
+def f11_indexed(t):
+    """The same search from a table of trigrams written once."""
+    fields = ["address", "city", "owner"]
+    path = scratch(t.spark, "cards")
+    X3.write_index(t.homes.select("strap", *fields), path, "strap", fields, BUCKETS)
+    return X3.indexed_search(t.spark, path, "strap", fields, " ELM Street 0 N").select("strap", "address", "city")
+
+
 @query("f12_clean_prices", """
 SELECT event_id, CASE event_type WHEN 'view' THEN 'CO' WHEN 'click' THEN 'DC' END AS state, round(value, 4) AS price FROM events
 WHERE event_type IN ('view', 'click') AND event_id % 7 <> 0 AND value > 0""")
