@@ -31,7 +31,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadpanel.session import pin
+from leadpanel.session import pin, small
 
 #: Stands for a variable field.
 FIELD = "<*>"
@@ -98,11 +98,17 @@ def leaves_of(tree: Tree) -> Column:
     return F.array_compact(F.array(*[F.when(path.isNotNull(), F.xxhash64("size", F.lit(at), path)) for at, path in enumerate(paths)]))
 
 
+def _often(lines: DataFrame, names: list[str], tree: Tree) -> DataFrame:
+    """``lines`` whose name stands in at least ``min_docs`` of them: few names, so that most lines are not shuffled further."""
+    names_often = lines.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= tree.min_docs).select(*names)
+    return lines.join(small(names_often), names, "left_semi")
+
+
 def _recurring(lines: DataFrame, template: list[str], tree: Tree) -> DataFrame:
     """The templates in at least ``min_docs`` documents with their ``first`` place; counted per document before per template."""
     place = F.struct("doc_id", *KEY, "n")
-    return (
-        lines.groupBy(*template, *KEY).agg(F.min(place).alias("place"))
+    return small(
+        _often(lines, template, tree).groupBy(*template, *KEY).agg(F.min(place).alias("place"))
         .groupBy(*template).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= tree.min_docs)
         .select(*template, "first")
@@ -122,9 +128,7 @@ def general_lines(docs: DataFrame, lines: DataFrame, tree: Tree) -> DataFrame:
     leafy = lines.where(F.col("size") >= tree.min_tokens)
     each = leafy.select(*FORM, F.explode("leaves").alias("leaf"), F.struct(*KEY, "n").alias("place"))
     # Copies of a line count as often as they are there, but are worked on once.
-    forms = each.groupBy(*FORM, "leaf").agg(F.count(F.lit(1)).alias("lines"), F.min("place").alias("place"))
-    common = forms.groupBy("leaf").agg(F.sum("lines").alias("_all")).where(F.col("_all") >= tree.min_docs).select("leaf")
-    forms = pin(forms.join(common, "leaf", "left_semi"))
+    forms = pin(_often(each, ["leaf"], tree).groupBy(*FORM, "leaf").agg(F.count(F.lit(1)).alias("lines"), F.min("place").alias("place")))
     # One line of each form is shaped again, for its words.
     wanted = forms.select("place.*").groupBy(*KEY).agg(F.collect_set("n").alias("wanted"))
     involved = docs.select("*", *document_key()).join(wanted, KEY).select(*docs.columns, "wanted")
@@ -147,7 +151,7 @@ def recurring_lines(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     """``key, key2, n`` of every line that is a repetition of a recurring line or template."""
     shaped = shaped_lines(docs).withColumn("leaves", F.when(F.col("size") >= tree.min_tokens, leaves_of(tree)))
     lines = pin(shaped.select(*KEY, "doc_id", "n", *named(WHOLE, "plain"), *named(FORM, "size", "shape"), "size", "leaves"))
-    general = pin(general_lines(docs, lines, tree))
+    general = small(general_lines(docs, lines, tree))
     placed = pin(lines.select(*KEY, "doc_id", "n", *FORM).join(general, FORM).drop(*FORM))
     again = (F.col("first.key") != F.col("key")) | (F.col("first.key2") != F.col("key2")) | (F.col("first.n") != F.col("n"))
     whole = lines.join(_recurring(lines, WHOLE, tree), WHOLE).where(again).select(*KEY, "n")
