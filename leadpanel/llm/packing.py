@@ -19,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,8 @@ def split_units(text: str) -> list[str | tuple[str]]:
     return [(units[0],), *units[1:]] if text else []
 
 
-#: Units encoded as one text, with a control token between them.
-_JOINED = 512
+#: Units encoded as one text, with a control token between them, and such texts encoded at a time.
+_JOINED, _AT_A_TIME = 512, 4
 #: Distinct units a worker remembers, and characters it splits at a time: tens of MB.
 UNITS_KEPT, CHUNK_CHARS = 400_000, 500_000
 #: Rows of a batch that are turned into Python strings at a time.
@@ -106,7 +107,10 @@ def _encoder(tokenizer_file: str, control_tokens: bool = True) -> UnitEncoder:
         parts = [units[low:low + _JOINED] for low in range(0, len(units), _JOINED)]
         joined = [mark.join(part) for part in parts]
         flat, sizes = [], []
-        for part, text, found in zip(parts, joined, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        # A few at a time: the library's encodings are many times as large as the ids.
+        encoded = chain.from_iterable(
+            tokenizer.encode_batch_fast(joined[low:low + _AT_A_TIME], add_special_tokens=False) for low in range(0, len(joined), _AT_A_TIME))
+        for part, text, found in zip(parts, joined, encoded):
             if any(text.count(control) != (len(part) - 1) * (control == mark) for control in controls):
                 ids, counts = alone(part)  # a unit that holds a control string itself
             else:
