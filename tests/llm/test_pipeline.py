@@ -82,3 +82,38 @@ def test_copies_with_only_blank_lines_left_go(spark):
     rows = [(at, "One footer on every page\n\n \t\n\n") for at in range(12)] + [(100, "\n\n"), (101, None)]
     left = corpus_pipeline.drop_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 100, 101]
+
+
+def test_all_stages_by_brute_force(spark):
+    """The classifier's own decisions, then plain loops for lines, near duplicates and packing over what is left."""
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import test_lines
+    import test_minhash
+    from leadpanel.llm import packing
+
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    scored = quality.classify(table, spark.read.parquet(f"{folder}/labels.parquet"))
+    good = {r["doc_id"] for r in scored.where("predicted = 1").select("doc_id").collect()}
+    texts = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect() if r["doc_id"] in good]
+    left = [(i, text) for i, text, _, dropped in test_lines.brute(texts) if not dropped or text.strip()]
+    kept = {i for i, _, _, stays in test_minhash.brute(left, 5, 80) if stays}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    want = []
+    for doc_id, text in left:
+        if doc_id in kept:
+            ids, start = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4"), 0
+            for size in packing.piece_lengths(len(ids)):
+                want.append((doc_id, start, size, zlib.crc32(ids[start:start + size].tobytes()), len(ids)))
+                start += size
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows) == sorted(want)
+    assert 0 < len(kept) < len(texts)
+    by_sequence = sorted(rows, key=lambda r: r["sequence_id"])
+    assert [r["sequence_id"] for r in by_sequence] == list(range(len(rows))) and all(r["offset"] == 0 for r in rows)
+    assert [r["length"] for r in by_sequence] == sorted((r["length"] for r in rows), reverse=True)
