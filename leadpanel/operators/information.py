@@ -3,19 +3,19 @@
 For each value the distance to its k-th neighbour of its own class is taken, and
 all values nearer than that are counted. In one dimension both need only sorted
 runs: the k-th neighbour stands among the k rows on either side, and the count
-is the difference of two running counts. No pairs are formed.
+is the difference of two places in the run. No pairs are formed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadpanel.operators.ranking import add_running_sums
 from leadpanel.operators.runs import scan, sorted_runs, summaries
 from leadpanel.session import pin
 
@@ -61,39 +61,57 @@ def unpivoted(data: DataFrame, features: Sequence[str], label: str, key: str, no
     return long.join(F.broadcast(spread), "f").select("f", "y", moved.alias("x"))  # one row per feature
 
 
-def _beyond_run_ends(runs: DataFrame, k: int) -> dict[int, tuple[list[float], list[float]]]:
-    """For each run, up to k values of its first group that stand before it, and of its last group that stand after it."""
+@dataclass
+class Group:
+    """The rows of one feature and class in one run."""
+
+    n: int
+    first: float
+    last: float
+    head: list[float]
+    tail: list[float]
+    before: list[float] = field(default_factory=list)
+    after: list[float] = field(default_factory=list)
+
+
+Key = tuple[int, int]  # feature and class
+Bound = tuple[int, float, bool]  # feature, value, and whether rows of that value count too
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Feature, classes and values of the stretches of one feature."""
+    f, y, x = (batch.column(n).to_numpy() for n in ("f", "y", "x"))
+    cuts = np.flatnonzero(f[1:] != f[:-1]) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(f)]):
+        yield int(f[low]), y[low:high], x[low:high]
+
+
+def _groups(runs: DataFrame, k: int) -> dict[int, dict[Key, Group]]:
+    """What each run holds of each feature and class, with up to k values of that class that stand before and after the run."""
 
     def summary(batches: Iterator[pa.RecordBatch]) -> dict:
-        first = last = None
-        head: list[float] = []
-        tail: list[float] = []
+        found: dict[Key, Group] = {}
         for batch in batches:
-            for f, y, x in zip(*(batch.column(n).to_pylist() for n in ("f", "y", "x"))):
-                if (f, y) != last:
-                    first = first or (f, y)
-                    last, tail = (f, y), []
-                if last == first and len(head) < k:
-                    head.append(x)
-                tail = [*tail[1 - k:], x] if k > 1 else [x]
-        return {"first": list(first), "last": list(last), "head": head, "tail": tail}
-
-    found = summaries(runs, summary, "first array<bigint>, last array<bigint>, head array<double>, tail array<double>")
-    before: dict[int, list[float]] = {}
-    after: dict[int, list[float]] = {}
-    group, held = None, []
-    for row in found:
-        before[row["_run"]] = held if row["first"] == group else []
-        whole = row["first"] == row["last"]
-        held = [*before[row["_run"]], *row["tail"]][-k:] if whole else row["tail"]
-        group = row["last"]
-    group, held = None, []
-    for row in reversed(found):
-        after[row["_run"]] = held if row["last"] == group else []
-        whole = row["first"] == row["last"]
-        held = [*row["head"], *after[row["_run"]]][:k] if whole else row["head"]
-        group = row["first"]
-    return {run: (before[run], after[run]) for run in before}
+            for f, y, x in _chunks(batch):
+                for of in np.unique(y):
+                    own = x[y == of]
+                    group = found.setdefault((f, int(of)), Group(0, float(own[0]), 0.0, [], []))
+                    group.n += len(own)
+                    group.last = float(own[-1])
+                    group.head = [*group.head, *own[:k].tolist()][:k]
+                    group.tail = [*group.tail, *own[-k:].tolist()][-k:]
+        return {"groups": [{"f": f, "y": y, "n": g.n, "first": g.first, "last": g.last, "head": g.head, "tail": g.tail} for (f, y), g in found.items()]}
+
+    rows = summaries(runs, summary, "groups array<struct<f int, y bigint, n bigint, first double, last double, head array<double>, tail array<double>>>")
+    out = {row["_run"]: {(g["f"], g["y"]): Group(g["n"], g["first"], g["last"], g["head"], g["tail"]) for g in row["groups"]} for row in rows}
+    for numbers, near, held in ((sorted(out), "tail", "before"), (sorted(out, reverse=True), "head", "after")):
+        seen: dict[Key, list[float]] = {}
+        for run in numbers:
+            for key, group in out[run].items():
+                setattr(group, held, seen.get(key, []))
+                both = [*seen.get(key, []), *group.tail][-k:] if near == "tail" else [*group.head, *seen.get(key, [])][:k]
+                seen[key] = both
+    return out
 
 
 def neighbour_bounds(x: np.ndarray, own: slice, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,53 +133,133 @@ def neighbour_bounds(x: np.ndarray, own: slice, k: int) -> tuple[np.ndarray, np.
     return low, high
 
 
-def neighbour_information(long: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """``f, mi`` in nats, never below 0, from ``f, y, x``; a class of one row counts for nothing."""
-    long = pin(long)
-    sizes = pin(long.groupBy("f", "y").agg(F.count(F.lit(1)).alias("ny")).where("ny > 1"))
-    counts = {(r["f"], r["y"]): r["ny"] for r in sizes.collect()}  # one row per feature and class
-    runs = sorted_runs(long.join(F.broadcast(sizes.select("f", "y")), ["f", "y"]), c("f"), c("y"), c("x"))
-    names = ["f", "v", "kind", "is_point", "id", "sign"]
-
-    def step(batches: Iterator[pa.RecordBatch], halo: tuple[list[float], list[float]]) -> Iterator[pa.RecordBatch]:
-        before, after = halo
-        group, parts, number, run = None, [], 0, 0
-
-        def out(before: list[float], after: list[float]) -> pa.RecordBatch:
-            nonlocal number
-            own = np.concatenate(parts)
-            x = np.concatenate([before, own, after])
-            low, high = neighbour_bounds(x, slice(len(before), len(before) + len(own)), min(k, counts[group] - 1))
-            same = low == high  # the k-th neighbour has the same value: count all that have it
-            n = len(own)
-            ids = (np.int64(run) << 33) + number + np.arange(n)
-            number += n
-            zero = np.zeros(n, np.int8)
-            # Where the interval is open at its start, the start's own values are counted before it, and so at its end.
-            columns = [np.full(3 * n, group[0], np.int32), np.concatenate([own, low, high]),
-                       np.concatenate([zero, np.where(same, -1, 1), np.where(same, 1, -1)]).astype(np.int8),
-                       np.concatenate([zero + 1, zero, zero]).astype(np.int64), np.concatenate([ids, ids, ids]),
-                       np.concatenate([zero, zero - 1, zero + 1]).astype(np.int8)]
-            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names)
+def _ranges(groups: dict[Key, Group]) -> dict[int, tuple[float, float]]:
+    """First and last value of each feature in a run, of all classes."""
+    out: dict[int, tuple[float, float]] = {}
+    for (f, _), g in groups.items():
+        low, high = out.get(f, (g.first, g.last))
+        out[f] = min(low, g.first), max(high, g.last)
+    return out
+
+
+def _settled(runs: DataFrame, held: dict[int, dict[Key, Group]], counts: dict[Key, int], k: int) -> DataFrame:
+    """``f, m, n``: how many rows have how many values within reach, as far as the run itself holds all of these.
+
+    Others have a null ``m`` and their interval in ``low, high``, ``same`` where it is one value. For each
+    class these are at most k different intervals from either end of a run and one that is a single value.
+    """
+    names = ["f", "low", "high", "same", "m", "n"]
+    kinds = [pa.int32(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
+    at = {f: [] for f, _ in counts}
+    for run in sorted(held):
+        for f in _ranges(held[run]):
+            at.setdefault(f, []).append(run)
+    ends = {f: (numbers[0], numbers[-1]) for f, numbers in at.items() if numbers}
+
+    def step(batches: Iterator[pa.RecordBatch], own: tuple[int, dict[Key, Group], dict]) -> Iterator[pa.RecordBatch]:
+        run, groups, run_ends = own
+        ranges = _ranges(groups)
+
+        def out(f: int, y: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+            classes = [of for of in np.unique(y) if (f, int(of)) in counts]
+            x_all = x if len(classes) == len(np.unique(y)) else x[np.isin(y, classes)]
+            low_end, high_end = ranges[f]
+            first, last = run == run_ends[f][0], run == run_ends[f][1]
+            for of in classes:
+                mine, group = x[y == of], groups[f, int(of)]
+                line = np.concatenate([group.before, mine, group.after])
+                low, high = neighbour_bounds(line, slice(len(group.before), len(group.before) + len(mine)), min(k, counts[f, int(of)] - 1))
+                same = low == high  # the k-th neighbour has the same value: count all that have it
+                m = np.where(same, np.searchsorted(x_all, high, "right") - np.searchsorted(x_all, low, "left"),
+                             np.searchsorted(x_all, high, "left") - np.searchsorted(x_all, low, "right"))
+                inside = (first | (low > low_end) | (~same & (low == low_end))) & (last | (high < high_end) | (~same & (high == high_end)))
+                found, n = np.unique(m[inside], return_counts=True)
+                none = [None] * len(found)
+                rest, times = np.unique(np.stack([low[~inside], high[~inside]]), axis=1, return_counts=True)
+                both = [[f] * (len(found) + len(times)), [*none, *rest[0]], [*none, *rest[1]], [*none, *(rest[0] == rest[1])],
+                        [*found, *[None] * len(times)], [*n, *times]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(both, kinds)], names)
+
+        of, ys, xs = None, [], []
+        for batch in batches:
+            for f, y, x in _chunks(batch):
+                if f != of and ys:
+                    yield from out(of, np.concatenate(ys), np.concatenate(xs))
+                    ys, xs = [], []
+                of = f
+                ys.append(y)
+                xs.append(x)
+        if ys:
+            yield from out(of, np.concatenate(ys), np.concatenate(xs))
+
+    carried = {run: (run, groups, {f: ends[f] for f in _ranges(groups)}) for run, groups in held.items()}
+    return scan(runs, carried, step, "f int, low double, high double, same boolean, m bigint, n bigint")
+
 
+def _values_below(runs: DataFrame, held: dict[int, dict[Key, Group]], counts: dict[Key, int], bounds: set[Bound]) -> dict[Bound, int]:
+    """How many values of its feature lie below each bound; only runs in which a bound lies are read."""
+    below = dict.fromkeys(bounds, 0)
+    asked: dict[int, list[Bound]] = {}
+    of: dict[int, list[Bound]] = {}
+    for bound in bounds:
+        of.setdefault(bound[0], []).append(bound)
+    for run, groups in held.items():
+        for f, (first, last) in _ranges(groups).items():
+            n = sum(g.n for (o, y), g in groups.items() if o == f and (f, y) in counts)
+            for bound in of.get(f, []):
+                _, v, too = bound
+                if last < v or (too and last == v):
+                    below[bound] += n
+                elif first < v or (too and first == v):
+                    asked.setdefault(run, []).append(bound)
+    if not asked:
+        return below
+
+    def step(batches: Iterator[pa.RecordBatch], wanted: list[Bound]) -> Iterator[pa.RecordBatch]:
+        found = dict.fromkeys(wanted, 0)
         for batch in batches:
-            run = batch.column("_run")[0].as_py()
-            f, y, x = (batch.column(n).to_numpy() for n in ("f", "y", "x"))
-            cuts = np.flatnonzero((f[1:] != f[:-1]) | (y[1:] != y[:-1])) + 1
-            for low, high in zip([0, *cuts], [*cuts, len(x)]):
-                if (int(f[low]), int(y[low])) != group:
-                    if parts:
-                        yield out(before, [])
-                        before = []
-                    group, parts = (int(f[low]), int(y[low])), []
-                parts.append(x[low:high])
-        yield out(before, after)
-
-    marks = scan(runs, _beyond_run_ends(runs, k), step, "f int, v double, kind tinyint, is_point bigint, id bigint, sign tinyint")
-    placed = add_running_sums(marks, [c("v"), c("kind"), c("id"), c("sign")], ["is_point"], ["f"])
-    within = placed.where("is_point = 0").groupBy("f", "id").agg(F.sum(c("sign") * c("cum_is_point")).alias("m"))
-    near = within.groupBy("f").agg(F.avg(digamma(c("m"))).alias("_near"))
-    classes = sizes.groupBy("f").agg(
-        F.sum("ny").alias("_n"), F.sum(c("ny") * digamma(c("ny"))).alias("_own"), F.sum(c("ny") * digamma(F.least(F.lit(k), c("ny") - 1))).alias("_k"))
-    mi = digamma(c("_n")) + (c("_k") - c("_own")) / c("_n") - c("_near")
-    return classes.join(near, "f").select("f", F.greatest(F.lit(0.0), mi).alias("mi"))
+            for f, y, x in _chunks(batch):
+                x = x[np.isin(y, [o for of, o in counts if of == f])]
+                for bound in wanted:
+                    if bound[0] == f:
+                        found[bound] += int(np.searchsorted(x, bound[1], "right" if bound[2] else "left"))
+        columns = [*zip(*((*bound, n) for bound, n in found.items()))]
+        kinds = [pa.int32(), pa.float64(), pa.bool_(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(columns, kinds)], ["f", "v", "too", "n"])
+
+    some = runs.where(c("_run").isin(list(asked)))
+    for r in scan(some, asked, step, "f int, v double, too boolean, n bigint").collect():  # a few bounds of each run
+        below[r["f"], r["v"], r["too"]] += r["n"]
+    return below
+
+
+def neighbour_information(long: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+    """``f, mi`` in nats, never below 0, from ``f, y, x``; a class of one row counts for nothing.
+
+    All classes of a feature are sorted together once. A row's neighbours and what lies nearer stand in its own
+    run, but for a few rows of each class at either end of a run; those are counted over the runs they reach.
+    """
+    runs = sorted_runs(long, c("f"), c("x"), c("y"))
+    held = _groups(runs, k)
+    counts: dict[Key, int] = {}
+    for groups in held.values():
+        for key, group in groups.items():
+            counts[key] = counts.get(key, 0) + group.n
+    counts = {key: n for key, n in counts.items() if n > 1}  # one entry per feature and class
+    found = pin(_settled(runs, held, counts, k))
+    open_rows = found.where("m IS NULL").collect()  # a few per class and run
+    bounds = {b for r in open_rows for b in ((r["f"], r["low"], not r["same"]), (r["f"], r["high"], r["same"]))}
+    below = _values_below(runs, held, counts, bounds) if bounds else {}
+    near = {r["f"]: r["near"] for r in found.where("m IS NOT NULL").groupBy("f").agg(F.sum(c("n") * digamma(c("m"))).alias("near")).collect()}
+    for r in open_rows:
+        m = below[r["f"], r["high"], r["same"]] - below[r["f"], r["low"], not r["same"]]
+        near[r["f"]] = near.get(r["f"], 0.0) + r["n"] * digamma(m)
+    sizes: dict[int, list[int]] = {}
+    for (f, _), n in sorted(counts.items()):
+        sizes.setdefault(f, []).append(n)
+    out = []
+    for f, ns in sizes.items():
+        total = sum(ns)
+        own = sum(n * (digamma(min(k, n - 1)) - digamma(n)) for n in ns)
+        out.append((f, max(0.0, digamma(total) + (own - near[f]) / total)))
+    return long.sparkSession.createDataFrame(out, "f int, mi double")
