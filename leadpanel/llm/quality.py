@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from leadpanel.llm.tokens import WordNumbers, hold
+from leadpanel.llm.tokens import WordNumbers, give_back, hold
 from leadpanel.session import pin
 
 #: Labelled rows per label in the fitted sample.
@@ -37,6 +37,8 @@ WORD_BINS, CLASS_BINS, REPEAT_BINS = 1 << 14, 1 << 15, 16
 TERMS = WORD_BINS + CLASS_BINS + REPEAT_BINS
 
 _BLOCK = 256
+#: Cells of the sample's matrix that are dense at a time: 16 MB.
+_CELLS = 1 << 22
 
 
 def _byte_classes() -> np.ndarray:
@@ -121,19 +123,68 @@ class Model:
         return np.where(total > 0, votes / np.maximum(total, 1e-300), self.labels.mean())
 
 
+class SampleMatrix:
+    """A matrix kept as its cells other than zero; products make a block of it dense at a time."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, shape: tuple[int, int]):
+        """``rows`` ascend."""
+        self.shape = shape
+        order = np.argsort(columns, kind="stable")
+        self.values = values.astype(np.float32)
+        self.by_row, self.by_column = (rows, columns, slice(None)), (columns[order], rows[order], order)
+
+    def _blocks(self, cells: tuple, along: int, across: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each run of rows (or columns), and where its cells lie in it with their values."""
+        at, other, order = cells
+        step = max(1, _CELLS // max(across, 1))
+        values = self.values[order]
+        for low in range(0, along, step):
+            high = min(low + step, along)
+            first, last = np.searchsorted(at, [low, high])
+            yield slice(low, high), at[first:last] - low, other[first:last], values[first:last]
+
+    def row_blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for part, row, column, values in self._blocks(self.by_row, *self.shape):
+            block = np.zeros((part.stop - part.start, self.shape[1]), np.float32)
+            block[row, column] = values
+            yield part, block
+
+    def column_blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for part, column, row, values in self._blocks(self.by_column, *self.shape[::-1]):
+            block = np.zeros((self.shape[0], part.stop - part.start), np.float32)
+            block[row, column] = values
+            yield part, block
+
+    def scale_rows(self) -> None:
+        """Rows become unit vectors."""
+        norms = np.concatenate([np.linalg.norm(block, axis=1) for _, block in self.row_blocks()])
+        self.values /= np.maximum(norms, 1e-12)[self.by_row[0]]
+
+    def times(self, right: np.ndarray) -> np.ndarray:
+        return np.concatenate([block @ right for _, block in self.row_blocks()])
+
+    def transposed_times(self, right: np.ndarray) -> np.ndarray:
+        return np.concatenate([block.T @ right for _, block in self.column_blocks()])
+
+    def left_times(self, left: np.ndarray) -> np.ndarray:
+        return np.concatenate([left @ block for _, block in self.column_blocks()], axis=1)
+
+
 def latent_directions(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> np.ndarray:
-    """The leading right singular directions of the sample's weighted unit rows, by randomised subspace iteration."""
+    """The leading right singular directions of the sample's weighted unit rows, by randomised subspace iteration.
+
+    The matrix is never dense as a whole, which would be hundreds of MB on the driver.
+    """
     sizes = [len(found) for found, _ in rows]
     columns, at = np.unique(np.concatenate([found for found, _ in rows]), return_inverse=True)
-    matrix = np.zeros((len(rows), len(columns)), np.float32)
     weights = np.concatenate([np.log1p(counts) for _, counts in rows]) * idf[columns[at]]
-    matrix[np.repeat(np.arange(len(rows)), sizes), at] = weights
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+    matrix = SampleMatrix(np.repeat(np.arange(len(rows)), sizes), at, weights, (len(rows), len(columns)))
+    matrix.scale_rows()
     wide = min(DIRECTIONS + 16, *matrix.shape)
-    basis = matrix @ np.random.default_rng(0).standard_normal((len(columns), wide)).astype(np.float32)
+    basis = matrix.times(np.random.default_rng(0).standard_normal((len(columns), wide)).astype(np.float32))
     for _ in range(4):
-        basis = np.linalg.qr(matrix @ (matrix.T @ np.linalg.qr(basis)[0]))[0]
-    _, _, right = np.linalg.svd(basis.T @ matrix, full_matrices=False)
+        basis = np.linalg.qr(matrix.times(matrix.transposed_times(np.linalg.qr(basis)[0])))[0]
+    _, _, right = np.linalg.svd(matrix.left_times(basis.T), full_matrices=False)
     directions = np.zeros((TERMS, min(DIRECTIONS, wide)), np.float32)
     directions[columns] = right[:DIRECTIONS].T
     return directions
@@ -169,16 +220,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = LABELLED) -> Model:
                  pa.array([y for _, y in found], pa.list_(pa.int64()))], ["quality", "terms", "counts"])
 
     label = labels.schema["quality"].dataType.simpleString()
-    sample = training_sample(docs, labels, per_label).mapInArrow(
+    found = training_sample(docs, labels, per_label).mapInArrow(
         weigh, f"quality {label}, terms array<bigint>, counts array<bigint>"
-    ).toArrow().to_pylist()
-    sample = [(x["quality"], np.array(x["terms"], np.int64), np.array(x["counts"], np.int64)) for x in sample if x["terms"]]
+    ).toArrow()
+    # Views of the table's own memory: as Python numbers the sample would take ten times as much.
+    sample = [(quality.as_py(), used.values.to_numpy(), counts.values.to_numpy())
+              for quality, used, counts in zip(*(found.column(c) for c in ("quality", "terms", "counts"))) if len(used)]
     if not sample:
         return Model(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
     directions = latent_directions([(found, counts) for _, found, counts in sample], idf)
     model = Model(idf, directions, np.zeros((0, directions.shape[1]), np.float32), np.zeros(0))
     model.vectors = np.stack([model.project(found, counts) for _, found, counts in sample])
     model.labels = np.array([quality for quality, *_ in sample], np.float64)
+    del sample, found
+    give_back()
     return model
 
 

@@ -91,3 +91,29 @@ def test_accuracy_on_the_table(spark, folder):
     out = quality.classify(docs, labels).join(labels, "doc_id").where("held_out")
     right, rows = out.agg(F.sum((F.col("predicted") == F.col("quality")).cast("int")), F.count(F.lit(1))).first()
     assert rows > 50 and right / rows >= 0.95
+
+
+def test_directions_without_a_dense_matrix():
+    import tracemalloc
+
+    random = np.random.default_rng(5)
+    rows = [(np.sort(random.choice(40_000, 60, replace=False)), random.integers(1, 9, 60)) for _ in range(1200)]
+    idf = random.uniform(1, 9, quality.TERMS).astype(np.float32)
+    tracemalloc.start()
+    directions = quality.latent_directions(rows, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    used = np.unique(np.concatenate([found for found, _ in rows]))
+    dense = np.zeros((len(rows), len(used)), np.float32)
+    assert peak < 0.8 * dense.nbytes
+    for row, (found, counts) in enumerate(rows):
+        dense[row, np.searchsorted(used, found)] = np.log1p(counts) * idf[found]
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    wide = quality.DIRECTIONS + 16
+    basis = dense @ np.random.default_rng(0).standard_normal((len(used), wide)).astype(np.float32)
+    for _ in range(4):
+        basis = np.linalg.qr(dense @ (dense.T @ np.linalg.qr(basis)[0]))[0]
+    right = np.linalg.svd(basis.T @ dense, full_matrices=False)[2][:quality.DIRECTIONS]
+    want = np.zeros_like(directions)
+    want[used] = right.T
+    assert np.abs(np.abs(directions) - np.abs(want)).max() < 1e-3
