@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +54,27 @@ def split_units(text: str) -> list[str | tuple[str]]:
     return [(units[0],), *units[1:]] if text else []
 
 
+#: Plain characters, Latin-1 without those whose kind is not the same to all regex engines, and the pieces of
+#: byte-level BPE in them. Units stand in one text with a character between them that is a piece of its own, and its id none of the vocabulary.
+_LETTERS, _MARKS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"!-/:-@\[-`{-~"
+_ODD = re.compile(rf"[^{_LETTERS} \n0-9{_MARKS}]+")
+_PIECE = re.compile(rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_MARKS}]+| ?[0-9]+|[ \n]+(?![^ \n\0])|[ \n]+|\0")
+_GAP, _GAP_ID = "\0", 2**32 - 1
+#: Bytes that stand for themselves in a byte-level vocabulary; the others are spelled with letters from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {byte: byte for byte in _SHOWN} | {byte: 256 + at for at, byte in enumerate(sorted({*range(256)} - {*_SHOWN}))}
+
+
+def byte_letters(pieces: list[str]) -> list[str]:
+    """Pieces without tabs, as a byte-level vocabulary spells them."""
+    letters = "\t".join(pieces).encode().decode("latin-1").translate(_BYTE_LETTERS)
+    return letters.split(chr(_BYTE_LETTERS[9]))
+
+
 #: Units encoded as one text, with a control token between them, and such texts encoded at a time.
 _JOINED, _AT_A_TIME = 512, 4
-#: Distinct units a worker remembers, and characters it splits at a time: tens of MB.
-UNITS_KEPT, CHUNK_CHARS = 400_000, 500_000
+#: Distinct units and pieces a worker remembers, and characters it splits at a time: tens of MB.
+UNITS_KEPT, PIECES_KEPT, CHUNK_CHARS = 400_000, 400_000, 500_000
 #: Rows of a batch that are turned into Python strings at a time.
 _ROWS = 256
 
@@ -73,9 +91,10 @@ def splits_before_spaces(tokenizer_file: str) -> bool:
 
 @lru_cache(maxsize=4)
 def _encoder(tokenizer_file: str, control_tokens: bool = True) -> UnitEncoder:
-    """Units are encoded many at a time: the vocabulary's control token parts them and is an id of its own.
+    """Units share their pieces (words without the marks after them), so the library's model merges each distinct piece once.
 
-    A tokenizer file of another kind encodes whole texts.
+    Units with characters that are not plain are encoded by the library many at a time: the vocabulary's
+    control token parts them and is an id of its own. A tokenizer file of another kind encodes whole texts.
     """
     from tokenizers import Tokenizer
 
@@ -102,8 +121,48 @@ def _encoder(tokenizer_file: str, control_tokens: bool = True) -> UnitEncoder:
         # Controls stand at the odd places; what lies between them is cut like a text of its own.
         return [unit for at, part in enumerate(control.split(text)) for unit in ([(part,)] if at % 2 else split_units(part))]
 
+    model = tokenizer.model
+
+    def merge(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, ends = [], []
+        for piece, letters in zip(pieces, byte_letters(pieces)):
+            if piece == _GAP:
+                ids.append(_GAP_ID)
+            else:
+                ids.extend(map(attrgetter("id"), model.tokenize(letters)))
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(ends, prepend=0)
+
+    by_piece = UnitEncoder(_PIECE.findall, merge, PIECES_KEPT, CHUNK_CHARS)
+
     def encode(units: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray]:
         units = [unit[0] if isinstance(unit, tuple) else f" {unit}" for unit in units]
+        whole = "\n".join(units)
+        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)
+        odd = np.zeros(len(units), bool)
+        odd[np.searchsorted(ends, [found.start() for found in _ODD.finditer(whole)], "right")] = True
+        for control in controls:
+            if control in whole:
+                odd |= [control in unit for unit in units]
+        if not odd.any():
+            return by_pieces(units)
+        sizes, (plain_ids, sizes_plain), (odd_ids, sizes_odd) = np.zeros(len(units), np.int64), *(
+            way([units[at] for at in np.flatnonzero(own)]) for way, own in ((by_pieces, ~odd), (by_library, odd)))
+        sizes[~odd], sizes[odd] = sizes_plain, sizes_odd
+        owner = np.repeat(odd, sizes)
+        ids = np.zeros(len(owner), np.uint32)
+        ids[~owner], ids[owner] = plain_ids, odd_ids
+        return ids, sizes
+
+    def parted(ids: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids without the gaps between units, and how many each unit has."""
+        ends = np.append(np.flatnonzero(ids == gap), len(ids))
+        return ids[ids != gap], np.diff(ends, prepend=-1) - 1
+
+    def by_pieces(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return parted(next(by_piece.texts([_GAP.join(units)])), _GAP_ID) if units else flatten([])
+
+    def by_library(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [units[low:low + _JOINED] for low in range(0, len(units), _JOINED)]
         joined = [mark.join(part) for part in parts]
         flat, sizes = [], []
@@ -114,15 +173,12 @@ def _encoder(tokenizer_file: str, control_tokens: bool = True) -> UnitEncoder:
             if any(text.count(control) != (len(part) - 1) * (control == mark) for control in controls):
                 ids, counts = alone(part)  # a unit that holds a control string itself
             else:
-                ids = np.array(found.ids, np.uint32)
-                ends = np.append(np.flatnonzero(ids == mark_id), len(ids))
-                counts = np.diff(ends, prepend=-1) - 1
-                ids = ids[ids != mark_id]
+                ids, counts = parted(np.array(found.ids, np.uint32), mark_id)
             flat.append(ids)
             sizes.append(counts)
         return np.concatenate(flat), np.concatenate(sizes)
 
-    return UnitEncoder(split, encode, UNITS_KEPT, CHUNK_CHARS)
+    return UnitEncoder(split, encode, UNITS_KEPT, CHUNK_CHARS, by_piece)
 
 
 def piece_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:

@@ -76,14 +76,19 @@ class _Numbers(dict):
 
 
 class UnitEncoder:
-    """``split`` cuts a text into units, ``encode`` gives the ids of a list of units in a row, and the number of each."""
+    """``split`` cuts a text into units, ``encode`` gives the ids of a list of units in a row, and the number of each.
+
+    ``parts`` is an encoder that ``encode`` uses itself; it is forgotten with this one.
+    """
 
     def __init__(self, split: Callable[[str], list], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 units_kept: int = UNITS_KEPT, chunk_chars: int = CHUNK_CHARS):
-        self.split, self.encode, self.units_kept, self.chunk_chars = split, encode, units_kept, chunk_chars
+                 units_kept: int = UNITS_KEPT, chunk_chars: int = CHUNK_CHARS, parts: UnitEncoder | None = None):
+        self.split, self.encode, self.units_kept, self.chunk_chars, self.parts = split, encode, units_kept, chunk_chars, parts
         self.forget()
 
     def forget(self) -> None:
+        if self.parts is not None:
+            self.parts.forget()
         self.index = _Numbers()
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0

@@ -47,6 +47,23 @@ def test_other_kinds_of_tokenizer_encode_whole_texts():
     assert [x.tolist() for x in packing._encoder(file).texts(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_units_share_their_pieces(tokenizer):
+    marks = [".", ",", "!", ".\nNext", "'s", "é", "12", "\n\n", "&&&", "<|endoftext|>"]
+    texts = [" ".join(f"word{mark}" for mark in marks), " ".join(f"other{mark}" for mark in marks)]
+    encoder = packing._encoder(FILE)
+    encoder.forget()
+    assert [x.tolist() for x in encoder.texts(texts)] == [ids_of(tokenizer, t)[:-1] for t in texts]
+    assert {" word", " other", ".", "\n", "Next", "'s", "12"} <= set(encoder.parts.index)
+    assert not {" word.", " word,", " word12"} & set(encoder.parts.index)
+    encoder.forget()
+    assert not encoder.index and not encoder.parts.index
+
+
+def test_each_character_beside_plain_ones(tokenizer):
+    texts = [f"a{chr(c)}1 {chr(c)}'s!{chr(c)} b\n {chr(c)}{chr(c)}" for c in range(0x2100)]
+    assert [x.tolist() for x in packing._encoder(FILE).texts(texts)] == [ids_of(tokenizer, t)[:-1] for t in texts]
+
+
 @pytest.mark.parametrize("tokens, pieces", [(1, [1]), (7, [4, 2, 1]), (16, [16]), (37, [16, 16, 4, 1]), (31, [16, 8, 4, 2, 1])])
 def test_piece_lengths(tokens, pieces):
     assert packing.piece_lengths(tokens, 16) == pieces
